@@ -75,7 +75,7 @@ def duration_minutes(spark, sf_dir):
 
 
 def _round_like_spark(expr: str, n: int) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(38, 9)), {n}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
 
 
 @query("items_total", "F16 F11",
