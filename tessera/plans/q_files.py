@@ -1 +1,133 @@
-"""Registered queries (filled in below)."""
+"""Sink and file-level queries: each writes under the shared folder and
+returns what it reads back, so the check covers the write path too."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.plans import domain
+from tessera.plans.catalog import query
+from tessera.plans.oracle_sql import ORDER_LOG_CTES
+from tessera.session import work_path
+from tessera.sinks import tables as sink
+from tessera.sources import load
+from tessera.sources.tables import table_path
+
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
+])
+
+_CUST_SUMMARY_SQL = """SELECT o_custkey AS customer_id, count(*) AS total_orders, sum(o_totalprice) AS total_spent,
+       min(o_orderdate) AS first_order, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey"""
+
+
+@query("refresh_table", "K1 K3", sql=_CUST_SUMMARY_SQL)
+def refresh_table(spark, sf_dir):
+    o = load(spark, sf_dir, "orders")
+    summary = o.groupBy(F.col("o_custkey").alias("customer_id")).agg(
+        F.count(F.lit(1)).alias("total_orders"), F.sum("o_totalprice").alias("total_spent"),
+        F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"))
+    path = work_path(spark, "refresh_table")
+    sink.refresh(summary.limit(0), path)  # first run: an empty table
+    return sink.refresh(summary, path)    # a re-run replaces it, no duplicates
+
+
+@query("append_rows", "K2", sql="SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')")
+def append_rows(spark, sf_dir):
+    o = load(spark, sf_dir, "orders")
+    path = work_path(spark, "append_rows")
+    sink.append(o.filter(F.col("o_orderstatus") == "F"), path)
+    sink.append(o.filter(F.col("o_orderstatus") == "O"), path)
+    return spark.read.parquet(path)
+
+
+@query("ctas_customer_summary", "K4 K8 D13", sql=_CUST_SUMMARY_SQL)
+def ctas_customer_summary(spark, sf_dir):
+    view = sink.table_name("orders_v")
+    load(spark, sf_dir, "orders").createOrReplaceTempView(view)  # K8
+    name = sink.table_name("customer_summary")
+    return sink.ctas(spark, name, work_path(spark, "ctas"), _CUST_SUMMARY_SQL.replace("FROM orders", f"FROM {view}"))
+
+
+@query("insert_select", "K5 K6",
+       sql="""SELECT o_orderpriority AS priority, count(*) AS n_orders, sum(o_totalprice) AS revenue FROM orders
+       GROUP BY o_orderpriority UNION ALL SELECT 'none', 0, CAST(0.0 AS DOUBLE)""")
+def insert_select(spark, sf_dir):
+    view, name = sink.table_name("orders_v"), sink.table_name("priority_summary")
+    load(spark, sf_dir, "orders").createOrReplaceTempView(view)
+    spark.sql(f"CREATE TABLE {name} (priority STRING, n_orders BIGINT, revenue DOUBLE) USING parquet "
+              f"LOCATION '{work_path(spark, 'insert_select')}'")
+    spark.sql(f"INSERT INTO {name} SELECT o_orderpriority, count(*), sum(o_totalprice) FROM {view} "
+              f"GROUP BY o_orderpriority")
+    spark.sql(f"INSERT INTO {name} VALUES ('none', 0, 0.0)")  # K6
+    return spark.table(name)
+
+
+@query("partitioned_write", "K7 T7",
+       sql="SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS record_count FROM events GROUP BY ALL")
+def partitioned_write(spark, sf_dir):
+    e = load(spark, sf_dir, "events").withColumn("event_date", F.to_date("ts"))
+    path = work_path(spark, "partitioned_write")
+    sink.partitioned_write(e, path, ["event_date", "event_type"])
+    stats = sink.file_stats(spark, path, ["event_date", "event_type"])
+    return stats.groupBy("event_date", "event_type").agg(F.sum("record_count").alias("record_count"))
+
+
+@query("export_sorted", "K13", sql="WITH " + ORDER_LOG_CTES + " SELECT * FROM order_log")
+def export_sorted(spark, sf_dir):
+    log = domain.order_event_log(spark, sf_dir)
+    return sink.export_sorted(log, work_path(spark, "export_sorted"), ["ts_seconds", "sequence"],
+                              n_files=max(1, spark.sparkContext.defaultParallelism))
+
+
+@query("scan_json", "S2", sql="SELECT * FROM events")
+def scan_json(spark, sf_dir):
+    path = work_path(spark, "scan_json")
+    fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}  # keep microseconds
+    load(spark, sf_dir, "events").write.options(**fmt).json(path)
+    return spark.read.format("json").options(**fmt).schema(EVENTS_SCHEMA).load(path)
+
+
+@query("bronze_with_lineage", "S10 F8", sql="SELECT *, 'events.parquet' AS _source_file FROM events")
+def bronze_with_lineage(spark, sf_dir):
+    # the clock column (_ingested_at) is left out of the checked result
+    return sink.with_lineage(spark.read.parquet(table_path(sf_dir, "events"))).drop("_ingested_at")
+
+
+@query("reconcile_files_vs_table", "S11 S3",
+       sql="SELECT count(*) AS table_rows, count(*) AS file_rows, true AS counts_match FROM orders")
+def reconcile_files_vs_table(spark, sf_dir):
+    name, path = sink.table_name("orders_copy"), work_path(spark, "reconcile")
+    load(spark, sf_dir, "orders").write.option("path", path).saveAsTable(name)
+    t = spark.table(name).agg(F.count(F.lit(1)).alias("table_rows"))
+    f = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("file_rows"))
+    both = t.unionByName(f, allowMissingColumns=True).agg(F.max("table_rows").alias("table_rows"),
+                                                         F.max("file_rows").alias("file_rows"))
+    return both.withColumn("counts_match", F.col("table_rows") == F.col("file_rows"))
+
+
+@query("compact_files", "T8", sql="SELECT * FROM orders")
+def compact_files(spark, sf_dir):
+    src, dst = work_path(spark, "compact_src"), work_path(spark, "compact_dst")
+    o = load(spark, sf_dir, "orders")
+    o.repartition(40).write.parquet(src)  # many small files
+    return sink.compact(spark, src, dst, [])
+
+
+@query("orphan_files", "T10")
+def orphan_files(spark, sf_dir):
+    base = work_path(spark, "orphans")
+    o = load(spark, sf_dir, "orders")
+    o.repartition(4).write.parquet(f"{base}/data")
+    o.limit(10).write.parquet(f"{base}/data/stale_write")  # written but never committed to the table
+    table = spark.read.parquet(f"{base}/data/*.parquet")
+    referenced = table.select(F.col("_metadata.file_path").alias("file_path"))
+    return sink.orphan_files(spark, f"{base}/data", referenced).filter(F.col("path").endswith(".parquet"))
+
+
+@query("copy_table", "T11", sql="SELECT * FROM orders")
+def copy_table(spark, sf_dir):
+    return sink.copy_table(spark, load(spark, sf_dir, "orders"), work_path(spark, "copy_table"))
