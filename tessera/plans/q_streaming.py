@@ -1 +1,137 @@
-"""Registered queries (filled in below)."""
+"""Streaming queries: the provided ``events`` table is landed as time-ordered
+file slices (the event log), then consumed by Structured Streaming with
+``availableNow``; each query returns the batch read of its sink, which is
+compared with the batch result of the same logic."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.plans.catalog import query
+from tessera.plans.q_files import EVENTS_SCHEMA
+from tessera.session import work_path
+from tessera.sources import load
+from tessera.streaming import jobs
+
+N_SLICES = 4
+ENVELOPE_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
+                                T.StructField("timestamp", T.TimestampType())])
+
+
+def _landed_events(spark, sf_dir, name: str) -> tuple[str, str]:
+    base = work_path(spark, name)
+    jobs.stage_slices(load(spark, sf_dir, "events"), f"{base}/in", "ts", N_SLICES)
+    return base, f"{base}/in"
+
+
+def _bucket_sql(seconds: int) -> str:
+    return f"make_timestamp(CAST(floor(epoch_us(ts) / {seconds * 1_000_000}) AS BIGINT) * {seconds * 1_000_000})"
+
+
+@query("stream_ingest_files", "S8 K10 R7", sql="SELECT * FROM events")
+def stream_ingest_files(spark, sf_dir):
+    base, inp = _landed_events(spark, sf_dir, "stream_ingest")
+    jobs.run_to_files(jobs.file_stream(spark, inp, EVENTS_SCHEMA), f"{base}/out", f"{base}/cp")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("stream_filter", "R2 D12", sql="SELECT * FROM events WHERE event_type = 'purchase' AND user_id IS NOT NULL")
+def stream_filter(spark, sf_dir):
+    base, inp = _landed_events(spark, sf_dir, "stream_filter")
+    s = (jobs.file_stream(spark, inp, EVENTS_SCHEMA)
+         .filter((F.col("event_type") == "purchase") & F.col("user_id").isNotNull())
+         .withColumn("processed_at", F.current_timestamp()))
+    jobs.run_to_files(s, f"{base}/out", f"{base}/cp")
+    return spark.read.parquet(f"{base}/out").drop("processed_at")  # clock column not checked
+
+
+@query("stream_tumbling_counts", "R3 R6",
+       sql=f"""SELECT {_bucket_sql(10)} AS window_start, {_bucket_sql(10)} + INTERVAL 10 SECOND AS window_end,
+       event_type, count(*) AS count, sum(value) AS total_value FROM events GROUP BY ALL""")
+def stream_tumbling_counts(spark, sf_dir):
+    base, inp = _landed_events(spark, sf_dir, "stream_counts")
+    s = jobs.file_stream(spark, inp, EVENTS_SCHEMA).withColumn("event_time", jobs.event_time("ts"))
+    agg = jobs.tumbling(s, "event_time", "10 seconds", ["event_type"],
+                        [F.count(F.lit(1)).alias("count"), F.sum("value").alias("total_value")], "10 minutes")
+    jobs.run_update_mode(agg, f"{base}/out", f"{base}/cp")
+    return jobs.latest_state(spark, f"{base}/out", ["window_start", "window_end", "event_type"])
+
+
+@query("stream_tumbling_revenue", "R4 R6 F10",
+       sql=f"""SELECT {_bucket_sql(30)} AS window_start, {_bucket_sql(30)} + INTERVAL 30 SECOND AS window_end,
+       TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS product, count(*) AS orders, sum(value) AS revenue
+       FROM events WHERE event_type = 'purchase' GROUP BY ALL""")
+def stream_tumbling_revenue(spark, sf_dir):
+    base, inp = _landed_events(spark, sf_dir, "stream_revenue")
+    s = (jobs.file_stream(spark, inp, EVENTS_SCHEMA).filter(F.col("event_type") == "purchase")
+         .withColumns({"event_time": jobs.event_time("ts"),
+                       "product": F.get_json_object("props", "$.k").try_cast("int")}))
+    agg = jobs.tumbling(s, "event_time", "30 seconds", ["product"],
+                        [F.count(F.lit(1)).alias("orders"), F.sum("value").alias("revenue")], "1 hour")
+    jobs.run_update_mode(agg, f"{base}/out", f"{base}/cp")
+    return jobs.latest_state(spark, f"{base}/out", ["window_start", "window_end", "product"])
+
+
+@query("stream_watermark_append", "R5 R6")
+def stream_watermark_append(spark, sf_dir):
+    # append mode: a window is emitted once the watermark (max event time
+    # - 10 min) passes its end; the last open windows are never emitted.
+    base, inp = _landed_events(spark, sf_dir, "stream_append")
+    s = jobs.file_stream(spark, inp, EVENTS_SCHEMA).withColumn("event_time", jobs.event_time("ts"))
+    agg = jobs.tumbling(s, "event_time", "5 minutes", ["event_type"], [F.count(F.lit(1)).alias("count")],
+                        "10 minutes")
+    jobs.run_to_files(agg, f"{base}/out", f"{base}/cp")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("parse_envelope", "S6 K12 R1 P4", sql="SELECT * FROM events")
+def parse_envelope(spark, sf_dir):
+    env = jobs.to_envelope(load(spark, sf_dir, "events"), "event_id", "ts")
+    return jobs.parse_envelope(env, EVENTS_SCHEMA)
+
+
+@query("stream_parse_envelope", "S5 R1 K12 D6", sql="SELECT * FROM events")
+def stream_parse_envelope(spark, sf_dir):
+    base = work_path(spark, "stream_envelope")
+    jobs.to_envelope(load(spark, sf_dir, "events"), "event_id", "ts").write.json(f"{base}/in")
+    s = jobs.parse_envelope(jobs.file_stream(spark, f"{base}/in", ENVELOPE_SCHEMA, fmt="json"), EVENTS_SCHEMA)
+    jobs.run_to_files(s, f"{base}/out", f"{base}/cp")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("stream_to_table", "K9 D20",
+       sql="SELECT count(*) AS purchases, sum(value) AS purchase_total FROM events WHERE event_type = 'purchase'")
+def stream_to_table(spark, sf_dir):
+    from tessera.sinks.tables import table_name
+
+    base, inp = _landed_events(spark, sf_dir, "stream_table")
+    name = table_name("events_stream")
+    s = jobs.file_stream(spark, inp, EVENTS_SCHEMA).withColumn("processed_at", F.current_timestamp())
+    jobs.run_to_table(s, name, f"{base}/table", f"{base}/cp")
+    t = spark.table(name).filter(F.col("event_type") == "purchase")
+    return t.agg(F.count(F.lit(1)).alias("purchases"), F.sum("value").alias("purchase_total"))
+
+
+@query("stream_chain", "S9", sql="SELECT * FROM events WHERE value > 10")
+def stream_chain(spark, sf_dir):
+    base, inp = _landed_events(spark, sf_dir, "stream_chain")
+    jobs.run_to_files(jobs.file_stream(spark, inp, EVENTS_SCHEMA), f"{base}/a", f"{base}/cp_a")
+    down = jobs.file_stream(spark, f"{base}/a", EVENTS_SCHEMA, max_files_per_trigger=None).filter(F.col("value") > 10)
+    jobs.run_to_files(down, f"{base}/b", f"{base}/cp_b")
+    return spark.read.parquet(f"{base}/b")
+
+
+@query("stream_restart_no_dups", "R8 U4 R11",
+       sql="SELECT count(*) AS total_rows, count(DISTINCT event_id) AS distinct_ids FROM events")
+def stream_restart_no_dups(spark, sf_dir):
+    base = work_path(spark, "stream_restart")
+    e = load(spark, sf_dir, "events")
+    half = e.agg(F.percentile_approx("event_id", 0.5)).scalar()
+    e.filter(F.col("event_id") <= half).write.parquet(f"{base}/in")
+    jobs.run_to_files(jobs.file_stream(spark, f"{base}/in", EVENTS_SCHEMA), f"{base}/out", f"{base}/cp")
+    e.filter(F.col("event_id") > half).write.mode("append").parquet(f"{base}/in")
+    # second run, same checkpoint: only the new files are read
+    jobs.run_to_files(jobs.file_stream(spark, f"{base}/in", EVENTS_SCHEMA), f"{base}/out", f"{base}/cp")
+    out = spark.read.parquet(f"{base}/out")
+    return out.agg(F.count(F.lit(1)).alias("total_rows"), F.countDistinct("event_id").alias("distinct_ids"))
