@@ -26,7 +26,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "1"))
     from tessera.plans.catalog import QUERIES
     from tessera.session import get_spark
 
