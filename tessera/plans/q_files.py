@@ -131,3 +131,16 @@ def orphan_files(spark, sf_dir):
 @query("copy_table", "T11", sql="SELECT * FROM orders")
 def copy_table(spark, sf_dir):
     return sink.copy_table(spark, load(spark, sf_dir, "orders"), work_path(spark, "copy_table"))
+
+
+@query("partition_stats", "T7 K7",
+       sql="""SELECT event_type, count(*) AS record_count, 1 AS file_count FROM events GROUP BY event_type""")
+def partition_stats(spark, sf_dir):
+    """Records and data files per partition, from the ``_metadata`` file
+    columns of a scan (one file per partition value: the write shuffles by
+    the partition column first)."""
+    path = work_path(spark, "partition_stats")
+    sink.partitioned_write(load(spark, sf_dir, "events"), path, ["event_type"])
+    st = sink.file_stats(spark, path, ["event_type"])
+    return st.groupBy("event_type").agg(F.sum("record_count").alias("record_count"),
+                                        F.count(F.lit(1)).cast("int").alias("file_count"))

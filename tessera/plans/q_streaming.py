@@ -135,3 +135,22 @@ def stream_restart_no_dups(spark, sf_dir):
     jobs.run_to_files(jobs.file_stream(spark, f"{base}/in", EVENTS_SCHEMA), f"{base}/out", f"{base}/cp")
     out = spark.read.parquet(f"{base}/out")
     return out.agg(F.count(F.lit(1)).alias("total_rows"), F.countDistinct("event_id").alias("distinct_ids"))
+
+
+@query("stream_to_files", "K10 K7 R7", sql="SELECT *, CAST(ts AS DATE) AS event_date FROM events")
+def stream_to_files(spark, sf_dir):
+    """Checkpointed append of a stream into date-partitioned Parquet."""
+    base, inp = _landed_events(spark, sf_dir, "stream_to_files")
+    s = jobs.file_stream(spark, inp, EVENTS_SCHEMA).withColumn("event_date", F.to_date("ts"))
+    jobs.run_to_files(s, f"{base}/out", f"{base}/cp", partition_by=["event_date"])
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("to_envelope", "K12 F11",
+       sql="""SELECT CAST(event_id AS VARCHAR) AS key,
+       CAST(json_object('event_id', event_id, 'ts', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 'user_id', user_id,
+                        'event_type', event_type, 'value', value, 'props', props) AS VARCHAR) AS value,
+       ts AS timestamp FROM events""")
+def to_envelope(spark, sf_dir):
+    env = jobs.to_envelope(load(spark, sf_dir, "events"), "event_id", "ts")
+    return env.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
