@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from tessera.functions.constants import EVENT_TYPES, VEHICLE_TYPES
 from tessera.functions.geo import distance_km
 from tessera.functions.hashing import uhash
-from tessera.functions.time import from_epoch
 from tessera.sources import load
 
 # --- fixed values: lifecycle timing rule (seconds) -------------------------
@@ -104,8 +103,33 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
              .drop("first_partkey"))
 
 
+def _iso_seconds(secs: Column) -> Column:
+    """ISO-8601 text (whole seconds) from epoch seconds; the session zone is
+    UTC (tessera.session), so this is the UTC wall clock."""
+    return F.date_format(F.timestamp_seconds(secs), "yyyy-MM-dd'T'HH:mm:ss")
+
+
 def _json(fields: list[tuple[str, Column]]) -> Column:
-    return F.to_json(F.struct(*[v.alias(k) for k, v in fields]), {"ignoreNullFields": "false"})
+    """Flat JSON object text from typed columns, built with ``concat``.
+
+    Produces the same text as ``to_json`` with NULL fields kept (numbers in
+    Java's shortest form, strings quoted) but without a JSON generator per
+    row. Only for the generated bodies: their strings never need escaping.
+    """
+    parts = []
+    for i, (k, v) in enumerate(fields):
+        parts.append(F.lit(("{" if i == 0 else ",") + f'"{k}":'))
+        parts.append(F.coalesce(_json_value(v), F.lit("null")))
+    parts.append(F.lit("}"))
+    return F.concat(*parts)
+
+
+def _json_value(v: Column) -> Column:
+    return v.cast("string")
+
+
+def _json_str(v: Column) -> Column:
+    return F.concat(F.lit('"'), v, F.lit('"'))
 
 
 def order_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,13 +189,13 @@ def order_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("customer_lat", c("cust_lat")), ("customer_lon", c("cust_lon")),
             ("brand_id", c("brand_id")), ("total", c("o_totalprice"))]))
         .when(seq == 1, _json([
-            ("kitchen_id", F.concat(F.lit("K"), F.lpad(c("location_id").cast("string"), 2, "0"))),
+            ("kitchen_id", _json_str(F.concat(F.lit("K"), F.lpad(c("location_id").cast("string"), 2, "0")))),
             ("estimated_prep_mins", (F.lit(10) + F.coalesce(c("brand_id"), F.lit(0)) % 11 + c("prep_adj")).cast("int"))]))
         .when(seq == 2, _json([("actual_prep_mins", tenths(c("d_kp"), F.lit(60)))]))
         .when(seq == 3, _json([("pickup_lat", c("kitchen_lat")), ("pickup_lon", c("kitchen_lon"))]))
         .when(seq == 4, _json([
-            ("driver_id", F.concat(F.lit("D"), F.lpad(c("driver_no").cast("string"), 4, "0"))),
-            ("vehicle_type", F.element_at(F.array(*[F.lit(v) for v in VEHICLE_TYPES]), c("vehicle_no")))]))
+            ("driver_id", _json_str(F.concat(F.lit("D"), F.lpad(c("driver_no").cast("string"), 4, "0")))),
+            ("vehicle_type", _json_str(F.element_at(F.array(*[F.lit(v) for v in VEHICLE_TYPES]), c("vehicle_no"))))]))
         .when(seq == 5, _json([
             ("route_distance_km", distance_km(c("kitchen_lat"), c("kitchen_lon"), c("cust_lat"), c("cust_lon")))]))
         .when(seq == last, _json([
@@ -186,7 +210,7 @@ def order_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.concat(c("o_orderkey").cast("string"), F.lit("-"), seq.cast("string")).alias("event_id"),
         event_type.alias("event_type"),
-        F.date_format(from_epoch(secs), "yyyy-MM-dd'T'HH:mm:ss").alias("ts"),
+        _iso_seconds(secs).alias("ts"),
         secs.cast("long").alias("ts_seconds"),
         c("location_id").cast("int").alias("location_id"),
         c("o_orderkey").cast("string").alias("order_id"),
