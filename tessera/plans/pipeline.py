@@ -52,6 +52,22 @@ def gold_delivery_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
                  lambda: medallion.delivery_performance(spark, sf_dir, lifecycle=silver_lifecycle(spark, sf_dir)))
 
 
+def dirty_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bronze.orders fed with NULL-injected events (input of the quality report)."""
+    from tessera.operators import generate
+    from tessera.plans import domain
+
+    return layer(spark, sf_dir, "dirty_bronze", lambda: medallion.bronze_orders(
+        spark, sf_dir, log=generate.inject_nulls(domain.order_event_log(spark, sf_dir))))
+
+
+def dirty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layer(spark, sf_dir, "dirty_silver",
+                 lambda: medallion.orders_enriched(spark, sf_dir, bronze=dirty_bronze(spark, sf_dir)))
+
+
 def build_all(spark: SparkSession, sf_dir: str) -> None:
-    """Run the pipeline: bronze -> silver (orders, lifecycle) -> gold tables."""
+    """Run the pipeline: bronze -> silver (orders, lifecycle) -> gold tables,
+    plus the NULL-injected bronze/silver the quality report reads."""
     gold_delivery_performance(spark, sf_dir)
+    dirty_silver(spark, sf_dir)
