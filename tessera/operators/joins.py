@@ -32,5 +32,7 @@ def left_lookup(fact: DataFrame, dim: DataFrame, on, max_rows: int = DEFAULT_BRO
 
 def orphan_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """Distinct non-NULL fact keys missing from the dimension (left anti)."""
-    keys = fact.select(F.col(fact_key).alias("key")).where(F.col("key").isNotNull())
-    return keys.join(dim.select(F.col(dim_key).alias("key")), on="key", how="left_anti").distinct()
+    # dedup first: a partial aggregation, so a hot key is one row per task
+    # before anything is shuffled for the anti join
+    keys = fact.select(F.col(fact_key).alias("key")).where(F.col("key").isNotNull()).distinct()
+    return keys.join(dim.select(F.col(dim_key).alias("key")), on="key", how="left_anti")

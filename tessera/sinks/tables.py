@@ -91,12 +91,18 @@ def compact(spark: SparkSession, src: str, dst: str, partition_cols: list[str],
     The source is never overwritten."""
     data = spark.read.parquet(src)
     plan = compaction_plan(spark, src, partition_cols, target_bytes)
-    n_out = plan.agg(F.sum("output_files")).scalar()
-    writer = data.repartition(n_out, *partition_cols) if partition_cols else data.repartition(n_out)
-    w = writer.write.mode("error")
+    n_out = plan.agg(F.sum("output_files")).first()[0] or 1  # one small number to the driver
+    # each row goes to bucket hash(row) % output_files of its partition, so a
+    # large (hot) partition is written by several tasks into several files
+    row_hash = F.abs(F.xxhash64(*[F.col(c) for c in data.columns]))
     if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(dst)
+        sized = data.join(plan.select(*partition_cols, "output_files"), on=partition_cols, how="left")
+        bucketed = sized.withColumn("_bucket", row_hash % F.col("output_files")).drop("output_files")
+        w = bucketed.repartition(int(n_out), *partition_cols, "_bucket").drop("_bucket").write.partitionBy(
+            *partition_cols)
+    else:
+        w = data.repartition(int(n_out)).write
+    w.mode("error").parquet(dst)
     out = spark.read.parquet(dst)
     if content_digest(out).first() != content_digest(data).first():
         raise RuntimeError(f"compaction changed content: {src} -> {dst}")

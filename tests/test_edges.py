@@ -92,3 +92,20 @@ def test_empty_input_global_aggregate(spark):
     df = spark.createDataFrame([], "v double")
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")).first()
     assert r.n == 0 and r.s is None
+
+
+def test_compaction_spreads_a_hot_partition(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.session import work_path
+    from tessera.sinks import tables as sink
+
+    src, dst = work_path(spark, "t_compact_src"), work_path(spark, "t_compact_dst")
+    df = spark.range(0, 20000).select(F.when(F.col("id") < 15000, F.lit("hot")).otherwise(F.lit("cold")).alias("p"),
+                                      F.col("id"))
+    df.repartition(12).write.partitionBy("p").parquet(src)
+    out = sink.compact(spark, src, dst, ["p"], target_bytes=20_000)  # tiny target: several files per partition
+    files = out.groupBy("p").agg(F.countDistinct(F.col("_metadata.file_path")).alias("n")).collect()
+    by_p = {r.p: r.n for r in files}
+    assert by_p["hot"] > 1
+    assert out.count() == 20000
