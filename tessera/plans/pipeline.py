@@ -36,9 +36,15 @@ def reset() -> None:
     _WRITTEN.clear()
 
 
+def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bronze.orders (generated event log + parsed event time), written once."""
+    return layer(spark, sf_dir, "bronze_orders", lambda: medallion.bronze_orders(spark, sf_dir))
+
+
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """silver.orders_enriched, written once."""
-    return layer(spark, sf_dir, "orders_enriched", lambda: medallion.orders_enriched(spark, sf_dir))
+    """silver.orders_enriched, built from the bronze table."""
+    return layer(spark, sf_dir, "orders_enriched",
+                 lambda: medallion.orders_enriched(spark, sf_dir, bronze=bronze_orders(spark, sf_dir)))
 
 
 def silver_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,12 +59,12 @@ def gold_delivery_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bronze.orders fed with NULL-injected events (input of the quality report)."""
+    """bronze.orders with NULLs injected (input of the quality report): a
+    projection over the bronze table. Injection touches location_id,
+    order_id and body only; event_timestamp comes from the untouched ts."""
     from tessera.operators import generate
-    from tessera.plans import domain
 
-    return layer(spark, sf_dir, "dirty_bronze", lambda: medallion.bronze_orders(
-        spark, sf_dir, log=generate.inject_nulls(domain.order_event_log(spark, sf_dir))))
+    return generate.inject_nulls(bronze_orders(spark, sf_dir))
 
 
 def dirty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
