@@ -41,6 +41,11 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer(spark, sf_dir, "bronze_orders", lambda: medallion.bronze_orders(spark, sf_dir))
 
 
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generated order event stream as stored in bronze (raw columns)."""
+    return bronze_orders(spark, sf_dir).drop("event_timestamp")
+
+
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """silver.orders_enriched, built from the bronze table."""
     return layer(spark, sf_dir, "orders_enriched",
