@@ -8,41 +8,54 @@ Distribution. A suffix array over all texts cannot live on one machine, so
 suffixes are dealt out such that equal ones meet: every window of ``min_len``
 bytes is assigned to its *anchor*, the smallest k-mer hash inside it. Equal
 windows have equal anchors at equal offsets. Windows in a row with the same
-anchor travel as one context string, so a text is sent about 3.7 times
-over, compressed, once. Contexts that repeat inside a block of documents are
-settled there and are sent only once (map-side combine), which also splits
-the copies of a hot passage over the map tasks.
-
-In a bucket of anchors, identical contexts are settled by their smallest
-document; the windows of the remaining contexts, if they can match at all, are
-put in suffix order, and previous/next smaller values over the documents in
-that order give each suffix its longest previous factor. Windows whose factor
-reaches ``min_len`` are removed. Covered ranges go back to the bucket of their
-document, where the text is cut.
+anchor form one context string.
+
+1. Rows are packed into compressed blocks, written once, bucketed by block.
+2. Each block sends the hashes of its anchors, six bytes each and once a block,
+   to the buckets of anchors; back come bit masks of those seen elsewhere.
+3. Only contexts of shared anchors are sent, by anchor. Contexts that repeat
+   inside a block are settled there (map-side combine), which also spreads the
+   copies of a hot passage over the map tasks.
+4. In a bucket of anchors, identical contexts are settled by their smallest
+   document; the windows of the other contexts, if they can match at all, are
+   put in suffix order, and previous/next smaller values over the documents in
+   that order give each suffix its longest previous factor. Windows whose
+   factor reaches ``min_len`` are removed.
+5. Removed windows go back to their block, where the texts are cut.
+
+The blocks meet what comes back by the table's bucketing: texts are never
+shuffled.
 
 Defined results: null or empty text -> no bytes; texts shorter than
 ``min_len`` lose nothing; a null doc_id counts as larger than all others and
 such rows do not remove from each other; rows that repeat a doc_id never
-remove from each other. Extra columns are kept as they are.
+remove from each other.
 """
 
 from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from tessera.llm.blocks import BLOCK_BYTES, gather_ranges, mix, partitions, ship, slice_hashes, text_blocks
+from tessera.llm.blocks import gather_ranges, mix, partitions, ship, slice_hashes, text_blocks
+from tessera.session import work_path
 
 MIN_LEN = 50
-KMER = 16
-#: Buckets for each shuffle partition: a bucket is what one task holds at once.
-BUCKETS = 8
-#: Bits of a minimizer key that hold the position inside a segment.
+KMER = 12
+#: Buckets of anchors for each shuffle partition: a bucket is what a task holds at once.
+BUCKETS = 2
+#: Bytes of text in a block, and in a piece of it whose k-mers are hashed at once.
+BLOCK = 4 << 20
+PIECE = 1 << 20
+#: Bits of a minimizer key that hold the position inside a piece.
 _POS_BITS = 24
 _LAST_ID = (1 << 63) - 1
 
@@ -111,7 +124,7 @@ def kmer_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the KMER bytes from each position."""
     n = len(data) - KMER + 1
     words = np.lib.stride_tricks.sliding_window_view(data, 8).copy().view(np.uint64).ravel()
-    return mix(words[:n] ^ mix(words[8:8 + n]))
+    return mix(words[:n] ^ mix(words[KMER - 8:KMER - 8 + n]))
 
 
 def contexts(data: np.ndarray, min_len: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,53 +143,49 @@ def contexts(data: np.ndarray, min_len: int) -> tuple[np.ndarray, np.ndarray, np
     return hashes[(keys[first] & mask).astype(np.int64)], first, np.diff(np.append(first, len(keys)))
 
 
-def _segments(offsets: np.ndarray, min_len: int) -> Iterator[tuple[int, int, int]]:
-    """(row, start, end) pieces of the texts with at least one window; a piece
-    ends min_len-1 bytes into the next one, so a window lies in exactly one."""
-    step = BLOCK_BYTES * 4
-    for i in range(len(offsets) - 1):
-        a, b = int(offsets[i]), int(offsets[i + 1])
-        while b - a >= min_len:
-            yield i, a, min(b, a + step + min_len - 1)
-            a += step
-
-
-def _block_contexts(block, min_len: int):
-    """row, anchor, first window (block position), windows for a whole block:
-    texts that fit are handled together, windows across borders dropped."""
-    rows, anchors, firsts, counts = [], [], [], []
-    if len(block.data) <= 4 * BLOCK_BYTES and len(block.data) >= min_len:
-        a, f, c = contexts(block.data, min_len)
-        # a run is cut where its windows would leave their text
-        ends = block.offsets[1:]
-        row = np.searchsorted(ends, f, "right")
-        last = f + c
-        crossing = np.flatnonzero(last + (min_len - 1) > ends[np.minimum(row, len(ends) - 1)])
-        ok = np.ones(len(f), bool)
-        ok[crossing] = False
-        rows, anchors, firsts, counts = [row[ok]], [a[ok]], [f[ok]], [c[ok]]
-        for k in crossing:  # few: runs at the borders of texts
-            p, q = int(f[k]), int(last[k])
-            i = int(row[k])
-            while p < q and i < len(ends):
-                stop = min(q, int(ends[i]) - min_len + 1)
-                if stop > p:
-                    rows.append(np.array([i])), anchors.append(a[k:k + 1])
-                    firsts.append(np.array([p])), counts.append(np.array([stop - p]))
-                p = max(p, int(ends[i]))
-                i += 1
-    else:
-        for i, a0, b0 in _segments(block.offsets, min_len):
-            a, f, c = contexts(block.data[a0:b0], min_len)
-            rows.append(np.full(len(a), i)), anchors.append(a)
-            firsts.append(f + a0), counts.append(c)
-    if not rows:
+def _piece_contexts(data: np.ndarray, offsets: np.ndarray, min_len: int):
+    """Contexts of the texts of one piece; runs of windows are cut at text borders."""
+    anchor, first, count = contexts(data, min_len)
+    ends = offsets[1:]
+    row = np.minimum(np.searchsorted(ends, first, "right"), len(ends) - 1)
+    crossing = np.flatnonzero(first + count + (min_len - 1) > ends[row])
+    ok = np.ones(len(first), bool)
+    ok[crossing] = False
+    cut = []
+    for k in crossing.tolist():  # few: one or two runs for each border
+        p, q, i = int(first[k]), int(first[k] + count[k]), int(row[k])
+        while p < q and i < len(ends):
+            stop = min(q, int(ends[i]) - min_len + 1)
+            if stop > p:
+                cut.append((i, k, p, stop - p))
+            p, i = max(p, int(ends[i])), i + 1
+    i, k, p, n = (np.array([c[j] for c in cut], np.int64) for j in range(4))
+    return np.append(row[ok], i), np.append(anchor[ok], anchor[k]), np.append(first[ok], p), np.append(count[ok], n)
+
+
+def block_contexts(block, min_len: int):
+    """row, anchor, first window (position in the block), number of windows,
+    for all texts of a block. Longer texts are hashed in overlapping pieces, so
+    that each window lies in exactly one."""
+    found, at = [], 0
+    while at < block.n:
+        a = int(block.offsets[at])
+        end = max(int(np.searchsorted(block.offsets, a + PIECE, "right")) - 1, at + 1)
+        b = int(block.offsets[end])
+        if b - a <= PIECE:
+            spans = [(a, b)]
+        else:
+            spans = [(s, min(b, s + PIECE + min_len - 1)) for s in range(a, max(b - min_len + 1, a + 1), PIECE)]
+        for s, e in spans:
+            if e - s >= min_len:
+                offsets = np.clip(block.offsets[at:end + 1] - s, 0, e - s)
+                row, anchor, first, count = _piece_contexts(block.data[s:e], offsets, min_len)
+                found.append((row + at, anchor, first + s, count))
+        at = end
+    if not found:
         z = np.zeros(0, np.int64)
         return z, z.astype(np.uint64), z, z
-    return tuple(np.concatenate(x) for x in (rows, anchors, firsts, counts))
-
-
-_CONTEXT_ROWS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("size", pa.int64()), ("blob", pa.binary())])
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _pack(*arrays: np.ndarray) -> tuple[int, bytes]:
@@ -195,175 +204,247 @@ def _unpack(blob: bytes, size: int) -> list[np.ndarray]:
     return out
 
 
-def _rows(kind: int, buckets: list[int], packed: list[tuple[int, bytes]]) -> pa.RecordBatch:
+_ROWS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("block", pa.int64()), ("size", pa.int64()), ("blob", pa.binary())])
+_ROWS_DDL = "kind int, key long, block long, size long, blob binary"
+_SENT, _REMOVED = 0, 1
+
+
+def _rows(kind: int, keys: list[int], blocks: list[int], packed: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
-        pa.array(buckets, pa.int32()), pa.array([kind] * len(buckets), pa.int32()),
-        pa.array([s for s, _ in packed], pa.int64()), pa.array([b for _, b in packed], pa.binary())], schema=_CONTEXT_ROWS)
+        pa.array([kind] * len(keys), pa.int32()), pa.array(keys, pa.int64()), pa.array(blocks, pa.int64()),
+        pa.array([s for s, _ in packed], pa.int64()), pa.array([b for _, b in packed], pa.binary())], schema=_ROWS)
 
 
-def _mark_rows(uid: np.ndarray, first: np.ndarray, count: np.ndarray, n_buckets: int) -> pa.RecordBatch | None:
-    """Removed windows as one row for each bucket of documents."""
-    if not len(uid):
-        return None
-    target = _text_bucket(uid, n_buckets)
-    order = np.lexsort((first, uid, target))
-    target, uid, first, count = target[order], uid[order], first[order], count[order]
-    cuts = np.flatnonzero(np.append(True, target[1:] != target[:-1]))
-    packed = [_pack(uid[a:b], first[a:b], count[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(uid)))]
-    return _rows(1, target[cuts].tolist(), packed)
+def _groups(sorted_values: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of the runs of equal values."""
+    if not len(sorted_values):
+        return []
+    cuts = np.flatnonzero(np.append(True, sorted_values[1:] != sorted_values[:-1])).tolist()
+    return list(zip(cuts, [*cuts[1:], len(sorted_values)]))
 
 
-def _text_bucket(uid: np.ndarray, n_buckets: int) -> np.ndarray:
-    return np.mod(uid, n_buckets).astype(np.int32)  # as pmod() in Spark; uid is a hash
+def _pack_blocks(size: int):
+    """Rows as blocks of about ``size`` bytes of text: compressed Arrow streams."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            for part in text_blocks(batch.column(0), size):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
+                    out.write_batch(batch.slice(part.first, part.n))
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
+                block += 1
 
-def _emit_contexts(min_len: int, n_buckets: int):
+    return run
+
+
+def _read_block(blob) -> pa.RecordBatch:
+    return pa.ipc.open_stream(blob).read_next_batch()
+
+
+def _texts(rows: pa.RecordBatch):
+    return next(text_blocks(rows.column(0), 1 << 62))
+
+
+def _sent_anchors(anchor: np.ndarray, n_buckets: int):
+    """The distinct anchors of a block by bucket, and for each context its place there."""
+    order = np.lexsort((anchor, anchor % np.uint64(n_buckets)))
+    new = np.append(True, anchor[order][1:] != anchor[order][:-1])
+    place = np.empty(len(anchor), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return anchor[order][new], place
+
+
+def _emit_anchors(min_len: int, n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            uid = batch.column("uid").to_numpy(zero_copy_only=False).astype(np.int64)
-            doc = batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
-            for block in text_blocks(batch.column("text")):
-                row, anchor, first, count = _block_contexts(block, min_len)
+            for block, blob in zip(batch.column("block").to_pylist(), batch.column("rows")):
+                row, anchor, _, _ = block_contexts(_texts(_read_block(blob.as_buffer())), min_len)
                 if not len(row):
                     continue
-                ids = doc[block.first:block.first + block.n][row]
-                # identical contexts: the first document sends it, others in the block are settled
-                whole = slice_hashes(block.data, first, first + count + (min_len - 1)) ^ anchor
-                order = np.lexsort((ids, whole))
-                new = np.append(True, whole[order][1:] != whole[order][:-1])
-                lowest = ids[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-                settled = np.zeros(len(row), bool)
-                settled[order] = ids[order] > lowest
-                at = first - block.offsets[row]
-                uids = uid[block.first:block.first + block.n][row]
-                marks = _mark_rows(uids[settled], at[settled], count[settled], n_buckets)
-                if marks is not None:
-                    yield marks
-                bucket = (anchor % np.uint64(n_buckets)).astype(np.int32)
-                sent = np.flatnonzero(~settled)
-                sent = sent[np.argsort(bucket[sent], kind="stable")]
-                cuts = np.flatnonzero(np.append(True, bucket[sent][1:] != bucket[sent][:-1])) if len(sent) else []
-                packed, buckets = [], []
-                for a, b in zip(cuts, np.append(cuts[1:], len(sent))):
-                    s = sent[a:b]
-                    data = block.data[gather_ranges(first[s], count[s] + (min_len - 1))]
-                    packed.append(_pack(anchor[s], ids[s], uids[s], at[s], count[s].astype(np.int32), data))
-                    buckets.append(int(bucket[s[0]]))
-                if buckets:
-                    yield _rows(0, buckets, packed)
+                sent, place = _sent_anchors(anchor, n_buckets)
+                # seen in two texts of this block already: shared wherever else it is
+                low = np.full(len(sent), len(row) + 1, np.int64)
+                high = np.full(len(sent), -1, np.int64)
+                np.minimum.at(low, place, row), np.maximum.at(high, place, row)
+                bucket = (sent % np.uint64(n_buckets)).astype(np.int64)
+                cuts = _groups(bucket)
+                top = (sent >> np.uint64(16)).astype(np.uint64)
+                yield _rows(_SENT, [int(bucket[a]) for a, _ in cuts], [block] * len(cuts), [
+                    _pack((top[a:b] >> np.uint64(16)).astype(np.uint32), (top[a:b] & np.uint64(0xFFFF)).astype(np.uint16), low[a:b] < high[a:b]) for a, b in cuts])
 
     return run
 
 
-def _settle(blobs: list[list[np.ndarray]], min_len: int):
-    """Removed windows (uid, first, count) of one bucket of anchors."""
-    anchor, doc, uid, at, count = (np.concatenate([b[i] for b in blobs]) for i in range(5))
-    lengths = count.astype(np.int64) + (min_len - 1)
-    begins = np.cumsum(lengths) - lengths
-    data = np.concatenate([b[5] for b in blobs])
-    # anchors seen in one document only have no match
-    order = np.lexsort((doc, anchor))
-    a, d = anchor[order], doc[order]
-    new = np.append(True, a[1:] != a[:-1])
-    start = np.flatnonzero(new)
-    stop = np.append(start[1:], len(a))
-    shared = (d[start] != d[stop - 1])[np.cumsum(new) - 1]
-    keep = order[shared]
-    if not len(keep):
-        return None
-    anchor, doc, uid, at, count, lengths, begins = (x[keep] for x in (anchor, doc, uid, at, count, lengths, begins))
-    # identical contexts: only the first document's goes on
-    local = gather_ranges(begins, lengths)
-    data = data[local]
-    begins = np.cumsum(lengths) - lengths
-    whole = slice_hashes(data, begins, begins + lengths) ^ anchor
-    order = np.lexsort((doc, whole))
-    new = np.append(True, whole[order][1:] != whole[order][:-1])
-    lowest = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-    settled = np.zeros(len(doc), bool)
-    settled[order] = doc[order] > lowest
-    out = [(uid[settled], at[settled], count[settled].astype(np.int64))]
-    # a match needs half of the bytes beside the anchor on its left or its right
-    alive = _may_match(data, anchor, doc, begins, lengths, whole, settled, min_len)
-    if alive.any():
-        rest = np.flatnonzero(alive)
-        entry = np.repeat(rest, count[rest])
-        offset = gather_ranges(np.zeros(len(rest), np.int64), count[rest].astype(np.int64))
-        starts = begins[entry] + offset
-        words = window_words(data, starts, min_len)
-        hit = has_previous_factor([anchor[entry], *words], doc[entry])
-        out.append((uid[entry[hit]], at[entry[hit]] + offset[hit], np.ones(int(hit.sum()), np.int64)))
-    return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def _may_match(data, anchor, doc, begins, lengths, whole, settled, min_len: int) -> np.ndarray:
-    """Contexts that can share a window with a different context of another
-    document. A shared window holds the anchor and ``min_len - KMER`` bytes more,
-    so it shares at least half of these on one side."""
-    rest = np.flatnonzero(~settled)
-    half = (min_len - KMER) // 2
-    # the anchor's place: windows first..first+count-1 all hold it
-    where = _anchor_place(data, anchor, begins, lengths, min_len, rest)
-    alive = np.zeros(len(doc), bool)
-    for left in (True, False):
-        b = where - half if left else where + KMER
-        inside = (b >= begins[rest]) & (b + half <= begins[rest] + lengths[rest])
-        some = rest[inside]
-        if not len(some):
-            continue
-        key = slice_hashes(data, b[inside], b[inside] + half) ^ mix(anchor[some])
-        order = np.lexsort((doc[some], key))
-        k, d = key[order], doc[some][order]
-        new = np.append(True, k[1:] != k[:-1])
-        start = np.flatnonzero(new)
-        stop = np.append(start[1:], len(k))
-        alive[some[order[(d[start] != d[stop - 1])[np.cumsum(new) - 1]]]] = True
-    return alive
-
-
-def _anchor_place(data, anchor, begins, lengths, min_len: int, rest: np.ndarray) -> np.ndarray:
-    """Position of the anchor in each context: the leftmost k-mer with its hash
-    among those that all windows hold."""
-    hashes = kmer_hashes(data)
-    place = np.full(len(rest), -1, np.int64)
-    last_window = begins[rest] + lengths[rest] - min_len
-    open_ = np.arange(len(rest))
-    for j in range(min_len - KMER + 1):
-        p = last_window[open_] + j
-        hit = hashes[p] == anchor[rest[open_]]
-        place[open_[hit]] = p[hit]
-        open_ = open_[~hit]
-        if not len(open_):
-            break
-    return place
-
-
-def _find_removed(min_len: int, n_buckets: int):
-    """Rows arrive sorted by (kind, bucket); marks pass through."""
+def _by_key(finish: Callable[[int, list, list], Iterator[pa.RecordBatch]]):
+    """Runs ``finish(key, blocks, arrays)`` on the rows of each key; rows arrive
+    sorted by (kind, key). Removed windows pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, current = [], None
+        blocks, held, current = [], [], None
         for batch in batches:
-            kinds, buckets = batch.column("kind").to_pylist(), batch.column("bucket").to_pylist()
-            sizes, blobs = batch.column("size").to_pylist(), batch.column("blob")
-            for i, (kind, bucket) in enumerate(zip(kinds, buckets)):
-                if kind == 1:
+            kinds, keys, owners, sizes = (batch.column(c).to_pylist() for c in ("kind", "key", "block", "size"))
+            blobs = batch.column("blob")
+            for i, key in enumerate(keys):
+                if kinds[i] == _REMOVED:
                     yield batch.slice(i, 1)
                     continue
-                if bucket != current:
-                    yield from _finish(held, min_len, n_buckets)
-                    held, current = [], bucket
+                if key != current:
+                    if held:
+                        yield from finish(current, blocks, held)
+                    blocks, held, current = [], [], key
+                blocks.append(owners[i])
                 held.append(_unpack(blobs[i].as_buffer(), sizes[i]))
-        yield from _finish(held, min_len, n_buckets)
+        if held:
+            yield from finish(current, blocks, held)
+
+    return run
+
+
+def _shared_anchors(key: int, blocks: list[int], held: list) -> Iterator[pa.RecordBatch]:
+    hashes = [(h.astype(np.uint64) << np.uint64(16)) | l for h, l, _ in held]
+    every = np.concatenate(hashes)
+    multi = np.concatenate([m for _, _, m in held])
+    order = np.argsort(every, kind="stable")
+    v = every[order]
+    new = np.append(True, v[1:] != v[:-1])
+    group = np.cumsum(new) - 1
+    shared = np.bincount(group) > 1
+    shared |= np.bincount(group, weights=multi[order]) > 0
+    mask = np.empty(len(v), bool)
+    mask[order] = shared[group]
+    at, packed = 0, []
+    for h in hashes:
+        packed.append(_pack(np.packbits(mask[at:at + len(h)])))
+        at += len(h)
+    yield _rows(_SENT, [key] * len(blocks), blocks, packed)
+
+
+def _emit_contexts(min_len: int, n_buckets: int):
+    """A block with the masks of its anchors, one for each bucket."""
+
+    def run(_, blocks: pa.Table, masks: pa.Table) -> pa.Table:
+        out = []
+        found = {k: _unpack(blob, size)[0] for k, blob, size in zip(*(masks.column(c).to_pylist() for c in ("key", "blob", "size")))}
+        for block, blob in zip(blocks.column("block").to_pylist(), blocks.column("rows").to_pylist()):
+            rows = _read_block(blob)
+            texts = _texts(rows)
+            row, anchor, first, count = block_contexts(texts, min_len)
+            if not len(row):
+                continue
+            sent, place = _sent_anchors(anchor, n_buckets)
+            bucket = (sent % np.uint64(n_buckets)).astype(np.int64)
+            shared = np.concatenate([np.unpackbits(found[int(bucket[a])], count=b - a) for a, b in _groups(bucket)]).astype(bool)
+            keep = shared[place]
+            row, anchor, first, count = row[keep], anchor[keep], first[keep], count[keep]
+            docs = _doc_ids(rows)[row]
+            # identical contexts: the smallest document of the block sends it
+            settled = _settled(slice_hashes(texts.data, first, first + count + (min_len - 1)) ^ anchor, docs)
+            if settled.any():
+                out.append(_removed(block, first[settled], count[settled]))
+            first, count, docs = first[~settled], count[~settled], docs[~settled]
+            target = (anchor[~settled] % np.uint64(n_buckets)).astype(np.int64)
+            order = np.argsort(target, kind="stable")
+            cuts = _groups(target[order])
+            packed = []
+            for a, b in cuts:
+                s = order[a:b]
+                packed.append(_pack(np.diff(docs[s], prepend=0), np.diff(first[s], prepend=0).astype(np.int32), count[s].astype(np.uint8),
+                                    texts.data[gather_ranges(first[s], count[s] + (min_len - 1))]))
+            if cuts:
+                out.append(_rows(_SENT, [int(target[order[a]]) for a, _ in cuts], [block] * len(cuts), packed))
+        return pa.Table.from_batches(out, _ROWS)
 
     return run
 
 
-def _finish(held: list, min_len: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
-    found = _settle(held, min_len) if held else None
-    marks = _mark_rows(*found, n_buckets) if found is not None else None
-    if marks is not None:
-        yield marks
+def _doc_ids(rows: pa.RecordBatch) -> np.ndarray:
+    return rows.column(1).cast(pa.int64()).fill_null(_LAST_ID).to_numpy(zero_copy_only=False)
+
+
+def _settled(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """True where a smaller document has the same key."""
+    out = np.zeros(len(keys), bool)
+    if len(keys):
+        order = np.lexsort((docs, keys))
+        new = np.append(True, keys[order][1:] != keys[order][:-1])
+        out[order] = docs[order] > docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    return out
+
+
+def _removed(block: int, first: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(first)
+    return _rows(_REMOVED, [block], [block], [_pack(np.diff(first[order], prepend=0).astype(np.int32), count[order].astype(np.uint8))])
+
+
+def _in_two(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """True where another document has the same key."""
+    order = np.lexsort((docs, keys))
+    k, d = keys[order], docs[order]
+    new = np.append(True, k[1:] != k[:-1])
+    start = np.flatnonzero(new)
+    out = np.zeros(len(keys), bool)
+    out[order] = (d[start] != d[np.append(start[1:], len(k)) - 1])[np.cumsum(new) - 1]
+    return out
+
+
+def _factors(min_len: int):
+    """Removed windows of one bucket of anchors."""
+
+    def run(key: int, blocks: list[int], held: list) -> Iterator[pa.RecordBatch]:
+        docs = np.concatenate([np.cumsum(h[0]) for h in held])
+        first = np.concatenate([np.cumsum(h[1].astype(np.int64)) for h in held])
+        count = np.concatenate([h[2] for h in held]).astype(np.int64)
+        data = np.concatenate([h[3] for h in held])
+        owner = np.repeat(np.array(blocks, np.int64), [len(h[0]) for h in held])
+        lengths = count + (min_len - 1)
+        begins = np.cumsum(lengths) - lengths
+        place = begins + _anchor_offsets(data, begins, count, min_len)
+        anchor = slice_hashes(data, place, place + KMER)
+        whole = slice_hashes(data, begins, begins + lengths) ^ anchor
+        settled = _settled(whole, docs)
+        out = [(owner[settled], first[settled], count[settled])]
+        rest = _may_match(data, anchor, place, docs, begins, lengths, np.flatnonzero(~settled), min_len)
+        if len(rest):
+            entry = np.repeat(rest, count[rest])
+            offset = gather_ranges(np.zeros(len(rest), np.int64), count[rest])
+            hit = has_previous_factor([anchor[entry], *window_words(data, begins[entry] + offset, min_len)], docs[entry])
+            out.append((owner[entry[hit]], first[entry[hit]] + offset[hit], np.ones(int(hit.sum()), np.int64)))
+        owner, first, count = (np.concatenate(x) for x in zip(*out))
+        order = np.argsort(owner, kind="stable")
+        for a, b in _groups(owner[order]):
+            yield _removed(int(owner[order[a]]), first[order[a:b]], count[order[a:b]])
+
+    return run
+
+
+def _anchor_offsets(data: np.ndarray, begins: np.ndarray, count: np.ndarray, min_len: int) -> np.ndarray:
+    """Where a context's anchor lies: the leftmost smallest k-mer hash among the
+    k-mers that all its windows hold, offsets count-1 .. min_len-KMER."""
+    hashes = kmer_hashes(data) & ~np.uint64((1 << _POS_BITS) - 1)
+    best = np.full(len(begins), ~np.uint64(0))
+    offset = count - 1
+    for j in range(min_len - KMER + 1):
+        h = hashes[begins + j]
+        lower = (h < best) & (j >= count - 1)
+        best[lower], offset[lower] = h[lower], j
+    return offset
+
+
+def _may_match(data, anchor, place, docs, begins, lengths, rest: np.ndarray, min_len: int) -> np.ndarray:
+    """Those contexts of ``rest`` that can share a window with another document's
+    different context. A shared window holds the anchor and ``min_len - KMER``
+    bytes more, so it shares at least half of these on one side."""
+    half = (min_len - KMER) // 2
+    alive = np.zeros(len(docs), bool)
+    for b in (place[rest] - half, place[rest] + KMER):
+        inside = (b >= begins[rest]) & (b + half <= begins[rest] + lengths[rest])
+        some = rest[inside]
+        if len(some):
+            alive[some[_in_two(slice_hashes(data, b[inside], b[inside] + half) ^ mix(anchor[some]), docs[some])]] = True
+    return np.flatnonzero(alive)
 
 
 def _union_spans(first: np.ndarray, count: np.ndarray, min_len: int) -> tuple[np.ndarray, np.ndarray]:
@@ -374,108 +455,102 @@ def _union_spans(first: np.ndarray, count: np.ndarray, min_len: int) -> tuple[np
     return first[s], end[np.append(s[1:], len(first)) - 1]
 
 
-def _cut_texts(min_len: int, out_schema: pa.Schema, finish):
-    """Cogroup of the texts of a bucket with their removed windows."""
+def _cut(min_len: int, finish: Callable[[pa.RecordBatch, list], pa.Table]):
+    """A block with its removed windows; ``finish(rows, spans)`` makes the result."""
+
+    def run(_, blocks: pa.Table, removed: pa.Table) -> pa.Table:
+        parts = [_unpack(blob, size) for blob, size in zip(removed.column("blob").to_pylist(), removed.column("size").to_pylist())]
+        first = np.concatenate([np.cumsum(p[0].astype(np.int64)) for p in parts]) if parts else np.zeros(0, np.int64)
+        count = np.concatenate([p[1] for p in parts]).astype(np.int64) if parts else first
+        order = np.argsort(first)
+        first, count = first[order], count[order]
+        out = []
+        for blob in blocks.column("rows").to_pylist():  # one block has one row
+            rows = _read_block(blob)
+            texts = _texts(rows)
+            cuts = np.searchsorted(first, texts.offsets).tolist()
+            spans = [None if a == b else _union_spans(first[a:b] - o, count[a:b], min_len) for a, b, o in zip(cuts, cuts[1:], texts.offsets.tolist())]
+            out.append(finish(rows, texts, spans))
+        return pa.concat_tables(out) if out else None
+
+    return run
 
-    def run(key, docs: pa.Table, marks: pa.Table) -> pa.Table:
-        parts = [_unpack(blob, size) for blob, size in zip(marks.column("blob").to_pylist(), marks.column("size").to_pylist())]
-        uid, first, count = (np.concatenate([p[i] for p in parts]) for i in range(3)) if parts else (np.zeros(0, np.int64),) * 3
-        order = np.lexsort((first, uid))
-        uid, first, count = uid[order], first[order], count[order]
-        texts, spans = docs.column("t_text").to_pylist(), []
-        for u in docs.column("t_uid").to_pylist():
-            a, b = np.searchsorted(uid, u), np.searchsorted(uid, u, "right")
-            spans.append(_union_spans(first[a:b], count[a:b], min_len) if b > a else None)
-        return finish(docs, texts, spans).select(out_schema.names).cast(out_schema)
+
+def _kept(raw: bytes, span) -> bytes:
+    if span is None:
+        return raw
+    starts, ends = span[0].tolist(), span[1].tolist()
+    return b"".join([raw[a:b] for a, b in zip([0, *ends], [*starts, len(raw)])])
+
+
+def _digest(rows: pa.RecordBatch, texts, spans: list) -> pa.Table:
+    kept = [_kept(texts.text(i), span) for i, span in enumerate(spans)]
+    sizes = np.diff(texts.offsets)
+    return pa.table({
+        "doc_id": rows.column(1).cast(pa.int64()), "n_bytes": pa.array(sizes, pa.int64()),
+        "n_removed": pa.array(sizes - np.array([len(k) for k in kept], np.int64), pa.int64()),
+        "n_spans": pa.array([0 if s is None else len(s[0]) for s in spans], pa.int64()),
+        "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())})
+
+
+def whole_characters(raw: bytes, span) -> str:
+    """The text without the covered bytes; a character that a range cuts stays."""
+    data = np.frombuffer(raw, np.uint8)
+    edge = np.zeros(len(raw) + 1, np.int64)
+    edge[span[0]], edge[span[1]] = 1, -1
+    covered = np.cumsum(edge)[:-1] > 0
+    char = np.cumsum((data & 0xC0) != 0x80) - 1
+    gone = np.ones(int(char[-1]) + 1, bool)
+    gone[char[~covered]] = False
+    return data[~gone[char]].tobytes().decode()
+
+
+def _rewrite(names: list[str]):
+    def run(rows: pa.RecordBatch, texts, spans: list) -> pa.Table:
+        valid = texts.valid.tolist()
+        kept = [None if not valid[i] else texts.text(i).decode() if span is None else whole_characters(texts.text(i), span) for i, span in enumerate(spans)]
+        return pa.table([pa.array(kept, pa.string()), *rows.columns[2:]], names=names)
 
     return run
 
 
-def _digest(docs: pa.Table, texts: list, spans: list) -> pa.Table:
-    sizes, removed, runs, digests = [], [], [], []
-    for t, sp in zip(texts, spans):
-        raw = (t or "").encode()
-        kept = _kept(raw, sp)
-        sizes.append(len(raw)), removed.append(len(raw) - len(kept))
-        runs.append(0 if sp is None else len(sp[0])), digests.append(hashlib.sha256(kept).hexdigest())
-    return pa.table({"doc_id": docs.column("t_doc"), "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-                     "n_spans": pa.array(runs, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
+def _removed_windows(rows: DataFrame, min_len: int) -> tuple[DataFrame, DataFrame]:
+    """The blocks of ``rows`` (text first, doc_id second) and their removed windows."""
+    spark = rows.sparkSession
+    ship(spark)
+    n = partitions(spark)
+    n_buckets = n * BUCKETS
+    name = f"tessera_blocks_{uuid.uuid4().hex}"
+    (rows.mapInArrow(_pack_blocks(BLOCK), "block long, rows binary").write.bucketBy(n, "block").format("parquet")
+     .option("path", work_path(spark, "llm_blocks")).saveAsTable(name))
+    blocks = spark.table(name)
 
+    def dealt(df: DataFrame, finish) -> DataFrame:
+        return df.repartition(n, "kind", "key").sortWithinPartitions("kind", "key").mapInArrow(_by_key(finish), _ROWS_DDL)
 
-def _kept(raw: bytes, sp) -> bytes:
-    if sp is None:
-        return raw
-    starts, ends = sp[0].tolist(), sp[1].tolist()
-    return b"".join(raw[a:b] for a, b in zip([0, *ends], [*starts, len(raw)]))
-
-
-def _rewrite(docs: pa.Table, texts: list, spans: list) -> pa.Table:
-    """Texts without the covered bytes; characters that a range cuts in two stay whole."""
-    kept = []
-    for t, sp in zip(texts, spans):
-        if sp is not None:
-            raw = t.encode()
-            gone = np.zeros(len(raw) + 1, np.int64)
-            np.add.at(gone, sp[0], 1), np.add.at(gone, sp[1], -1)
-            covered = np.cumsum(gone)[:-1] > 0
-            data = np.frombuffer(raw, np.uint8)
-            char = np.cumsum((data & 0xC0) != 0x80) - 1
-            whole = np.ones(int(char[-1]) + 1, bool)
-            whole[char[~covered]] = False
-            t = data[~whole[char]].tobytes().decode()
-        kept.append(t)
-    return docs.append_column("t_kept", pa.array(kept, pa.string()))
-
-
-def _marks(keyed: DataFrame, min_len: int, n_buckets: int) -> DataFrame:
-    sent = (keyed.select("uid", "doc", "text").where(F.octet_length("text") >= min_len)
-            .mapInArrow(_emit_contexts(min_len, n_buckets), "bucket int, kind int, size long, blob binary"))
-    n = partitions(keyed.sparkSession)
-    found = (sent.repartition(n, "kind", "bucket").sortWithinPartitions("kind", "bucket")
-             .mapInArrow(_find_removed(min_len, n_buckets), "bucket int, kind int, size long, blob binary"))
-    return found.select(F.col("bucket").alias("t_bucket"), "size", "blob")
-
-
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """uid: the same for rows that are equal in id and text, and only for these."""
-    ship(docs.sparkSession)
-    return docs.select(F.xxhash64(F.col(doc_id), F.col(text)).alias("uid"),
-                       F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST_ID)).alias("doc"), F.col(text).alias("text"))
+    masks = dealt(blocks.mapInArrow(_emit_anchors(min_len, n_buckets), _ROWS_DDL), _shared_anchors)
+    sent = blocks.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(_emit_contexts(min_len, n_buckets), _ROWS_DDL)
+    return blocks, dealt(sent, _factors(min_len))
 
 
 def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_len: int = MIN_LEN) -> DataFrame:
     """One row for each input row: doc_id, n_bytes, n_removed, n_spans (maximal
     removed runs) and kept_sha256 (digest of the remaining bytes)."""
-    n_buckets = partitions(docs.sparkSession) * BUCKETS
-    marks = _marks(_keyed(docs, doc_id, text), min_len, n_buckets)
-    side = docs.select(F.col(doc_id).cast("long").alias("t_doc"), F.col(text).alias("t_text"),
-                       F.xxhash64(F.col(doc_id), F.col(text)).alias("t_uid"))
-    side = side.withColumn("t_bucket", F.pmod("t_uid", F.lit(n_buckets)).cast("int"))
-    out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
-    return side.groupBy("t_bucket").cogroup(marks.groupBy("t_bucket")).applyInArrow(
-        _cut_texts(min_len, out, _digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows = docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("doc_id"))
+    blocks, removed = _removed_windows(rows, min_len)
+    return blocks.groupBy("block").cogroup(removed.groupBy("block")).applyInArrow(
+        _cut(min_len, _digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_len: int = MIN_LEN) -> DataFrame:
-    """The input rows with repeated passages cut out of their text."""
-    spark = docs.sparkSession
-    n_buckets = partitions(spark) * BUCKETS
-    marks = _marks(_keyed(docs, doc_id, text), min_len, n_buckets)
-    side = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("t_row"), F.col(text).alias("t_text"),
-                       F.xxhash64(F.col(doc_id), F.col(text)).alias("t_uid"))
-    # the row travels without its text, which is sent once beside it
+    """The input rows with repeated passages cut out of their text; a character
+    that a cut would split stays whole. All columns are kept."""
     at = docs.columns.index(text)
-    side = side.withColumn("t_row", F.col("t_row").withField(f"c{at}", F.lit(None).cast("string")))
-    side = side.withColumn("t_bucket", F.pmod("t_uid", F.lit(n_buckets)).cast("int"))
-    done = side.groupBy("t_bucket").cogroup(marks.groupBy("t_bucket"))
-    kind = side.schema["t_row"].dataType
-    out = done.applyInArrow(_rewrite_rows(min_len), f"t_row {kind.simpleString()}, t_kept string")
-    return out.select(*[(F.col("t_kept") if i == at else F.col(f"t_row.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
-
-
-def _rewrite_rows(min_len: int):
-    def run(key, docs: pa.Table, marks: pa.Table) -> pa.Table:
-        out = pa.schema([docs.schema.field("t_row"), ("t_kept", pa.string())])
-        return _cut_texts(min_len, out, _rewrite)(key, docs, marks)
-
-    return run
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*plain)
+    rest = [c for i, c in enumerate(plain) if i != at]
+    rows = rows.select(F.col(plain[at]), F.col(plain[docs.columns.index(doc_id)]).cast("long").alias("id"), *rest)
+    blocks, removed = _removed_windows(rows, min_len)
+    kind = StructType([f for f in rows.schema if f.name != "id"])
+    out = blocks.groupBy("block").cogroup(removed.groupBy("block")).applyInArrow(_cut(min_len, _rewrite(kind.names)), kind)
+    return out.select(*plain).toDF(*docs.columns)
