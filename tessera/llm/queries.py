@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import suffixdedup
+from tessera.llm import neardup, suffixdedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_query("op2_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
+
+
 @_query("op6_suffix_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.repeated_bytes(_table(spark, sf_dir, "documents"))
