@@ -49,15 +49,17 @@ from tessera.llm.blocks import gather_ranges, mix, partitions, ship, slice_hashe
 from tessera.session import work_path
 
 MIN_LEN = 50
-KMER = 12
+#: Bytes of an anchor, a multiple of 8. Anchors this long are seldom shared without a match around them, at any corpus size.
+KMER = 24
 #: Buckets of anchors for each shuffle partition: a bucket is what a task holds at once.
-BUCKETS = 2
+BUCKETS = 4
 #: Bytes of text in a block, and in a piece of it whose k-mers are hashed at once.
 BLOCK = 4 << 20
 PIECE = 1 << 20
 #: Bits of a minimizer key that hold the position inside a piece.
 _POS_BITS = 24
 _LAST_ID = (1 << 63) - 1
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 # --- longest previous factors -------------------------------------------------
@@ -124,7 +126,10 @@ def kmer_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the KMER bytes from each position."""
     n = len(data) - KMER + 1
     words = np.lib.stride_tricks.sliding_window_view(data, 8).copy().view(np.uint64).ravel()
-    return mix(words[:n] ^ mix(words[KMER - 8:KMER - 8 + n]))
+    out = words[:n] * _ODD
+    for at in range(8, KMER, 8):
+        out = (out ^ (out >> np.uint64(29)) ^ words[at:at + n]) * _ODD
+    return mix(out)
 
 
 def contexts(data: np.ndarray, min_len: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
