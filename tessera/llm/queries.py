@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontam, neardup, suffixdedup
+from tessera.llm import bpe, decontam, neardup, sharding, suffixdedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,3 +45,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_suffix_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.repeated_bytes(_table(spark, sf_dir, "documents"))
+
+
+@_query("op10_shard")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_table(spark, sf_dir, "documents"))
