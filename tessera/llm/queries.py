@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontam, neardup, sharding, suffixdedup
+from tessera.llm import bpe, decontam, neardup, sharding, suffixdedup, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,6 +47,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.repeated_bytes(_table(spark, sf_dir, "documents"))
 
 
+@_query("op7_url_rules", urlfilter.oracle_sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"), urlfilter.rule_table(spark))
+
+
 @_query("op10_shard")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
