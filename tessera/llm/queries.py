@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontam, neardup, sharding, suffixdedup, urlfilter
+from tessera.llm import bpe, chat, decontam, neardup, sharding, suffixdedup, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,6 +37,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@_query("op4_chat_format", chat.ORACLE_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(turns.unionByName(chat.probe(spark))))
+
+
 @_query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"))
