@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat, decontam, neardup, sharding, suffixdedup, urlfilter
+from tessera.llm import bpe, chat, decontam, fingerprint, neardup, sharding, suffixdedup, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_query("op1_order_minhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 @_query("op2_near_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
