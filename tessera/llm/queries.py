@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat, decontam, fingerprint, neardup, sharding, suffixdedup, urlfilter
+from tessera.llm import bpe, chat, decontam, fingerprint, langid, neardup, sharding, suffixdedup, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,6 +63,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_table(spark, sf_dir, "pages"), urlfilter.rule_table(spark))
 
 
+@_query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.learn_and_identify(_table(spark, sf_dir, "documents"))
+
+
 @_query("op10_shard")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
