@@ -9,14 +9,14 @@ soon as all its components are below the next rank.
 
 Signatures are cut into bands; documents that agree in a band are candidates.
 Equal sets are one node from the start. In a band's bucket every node is
-checked against the least one; then only nodes of a bucket that are still in
-different components are compared, signature against signature in blocks,
-and those that come near are checked. A check is always made on the full sets.
-Links are grouped by union-find (``components``).
+checked against the least one. Nodes of a bucket that are in different
+components then still meet in cells of bounded size, where one is checked against
+all others at once and at most a forest of links comes out: pairs are never
+listed. Every check is made on the full sets. Links are grouped by union-find
+(``components``).
 
 With 32 bands of 4 values a pair of similarity 0.8 misses all bands with
-probability 5e-8; the second comparison leaves out pairs whose 128 values agree
-in less than 0.65 of places, over four standard deviations below 0.8.
+probability 5e-8.
 
 Defined results: null or empty text, or text without words -> empty set,
 linked with nothing, its own component. Fewer words than ``width`` -> the whole
@@ -32,14 +32,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.blocks import LOWER, materialize, mix, partitions, ship, slice_hashes, text_blocks, word_spans
+from tessera.llm.blocks import LOWER, gather_ranges, materialize, mix, partitions, ship, slice_hashes, text_blocks, word_spans
 from tessera.llm.components import components
 
 SIGNATURE = 128
 BANDS = 32
 _ROWS = SIGNATURE // BANDS
-#: Share of agreeing signature values below which a pair is not checked.
-NEAR = 0.65
 #: Members of a bucket, or of a star, that one group of a task holds.
 GROUP = 256
 
@@ -96,77 +94,104 @@ def _sketch(width: int):
         for batch in batches:
             ids, uids = batch.column("doc_id"), batch.column("uid")
             for block in text_blocks(batch.column("text")):
-                sizes, keys, signatures, bands = [], [], [], []
+                sizes, keys, bands = [], [], []
                 for elements in shingle_sets(block, width):
                     sizes.append(len(elements))
                     if not len(elements):
-                        keys.append(None), signatures.append(None), bands.append(None)
+                        keys.append(None), bands.append(None)
                         continue
                     s = super_minhash(elements)
                     rows = s.reshape(BANDS, _ROWS).astype(np.uint64)
                     band = seeds
                     for j in range(_ROWS):
                         band = mix(band ^ rows[:, j])
-                    keys.append(_set_key(elements)), signatures.append(s.tobytes()), bands.append(band.view(np.int64))
+                    keys.append(_set_key(elements)), bands.append(band.view(np.int64))
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(block.first, block.n), uids.slice(block.first, block.n), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                    pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "uid", "n_shingles", "node", "signature", "bands"])
+                    pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "uid", "n_shingles", "node", "bands"])
 
     return run
 
 
-def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a group (rows sorted by band and cell) that lie in different
-    components and come near; between the two sides where a group has two."""
-
-    def pairs(rows: list[dict]):
-        m = np.stack([np.frombuffer(r["signature"], np.uint32) for r in rows])
-        root = np.unique(np.array([r["root"] for r in rows], object), return_inverse=True)[1]
-        side = np.array([r["side"] for r in rows])
-        size = np.array([r["n_shingles"] for r in rows])
+def _cell_links(width: int):
+    """Links between different components inside each cell (rows sorted by cell):
+    between its two sides, or among all its rows if it has one. Checked on the
+    full sets, one row against all others at once; at most one link for each
+    pair of components comes out, so a cell gives fewer links than it has rows."""
+
+    def links(rows: list[tuple[bytes, bytes, int]], sets: list[np.ndarray]):
+        sizes = np.array([len(x) for x in sets])
+        side = np.array([r[2] for r in rows])
+        root = np.unique(np.array([r[1] for r in rows], object), return_inverse=True)[1]
+        postings = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(postings, kind="stable")
+        postings, owner = postings[order], owner[order]
+        two = side.min() < side.max()
         left, right = [], []
-        for i in np.flatnonzero(side > 0):
-            other = (side != side[i]) if side.min() < side.max() else np.arange(len(rows)) > i
-            j = np.flatnonzero(other & (root != root[i]) & (100 * np.minimum(size, size[i]) >= 80 * np.maximum(size, size[i])))
-            j = j[(m[j] == m[i]).mean(axis=1) >= NEAR]
-            left += [max(rows[i]["node"], rows[k]["node"]) for k in j]
-            right += [min(rows[i]["node"], rows[k]["node"]) for k in j]
-        return pa.RecordBatch.from_arrays([pa.array(right, pa.binary()), pa.array(left, pa.binary())], names=["u", "v"])
-
-    held, current = [], None
-    for batch in batches:
-        for row in batch.to_pylist():
-            group = (row["band"], row["cell"])
-            if group != current:
-                if len(held) > 1:
-                    yield pairs(held)
-                held, current = [], group
-            held.append(row)
-    if len(held) > 1:
-        yield pairs(held)
-
-
-def _across(labelled: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes that share a bucket, are in different components so far and
-    have similar signatures. The bucket's largest component is cut into blocks of
-    GROUP; the other members meet each block (side 1 against side 0), and
-    one another in blocks of their own (cells below zero)."""
+        for i in np.flatnonzero(side == side.max()):
+            a, b = np.searchsorted(postings, sets[i]), np.searchsorted(postings, sets[i], "right")
+            both = np.bincount(owner[gather_ranges(a, b - a)], minlength=len(sets))
+            other = (side != side[i]) if two else np.arange(len(sets)) != i
+            for k in np.flatnonzero(other & (root != root[i]) & (100 * both >= 80 * (sizes + sizes[i] - both))).tolist():
+                if root[k] != root[i]:
+                    left.append(rows[i][0]), right.append(rows[k][0])
+                    root[root == root[k]] = root[i]
+        return pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, sets, current = [], [], None
+        for batch in batches:
+            keys, cells, nodes, roots, sides = (batch.column(c).to_pylist() for c in ("key", "cell", "node", "root", "side"))
+            for block in text_blocks(batch.column("text")):
+                for i, elements in enumerate(shingle_sets(block, width), block.first):
+                    if (keys[i], cells[i]) != current:
+                        if len(rows) > 1:
+                            yield links(rows, sets)
+                        rows, sets, current = [], [], (keys[i], cells[i])
+                    rows.append((nodes[i], roots[i], sides[i])), sets.append(elements)
+        if len(rows) > 1:
+            yield links(rows, sets)
+
+    return run
+
+
+def _count_to(n: str):
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+
+def _across(labelled: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Links between nodes that share a bucket but are in different components.
+
+    A bucket's largest component is its main one. Its members in such buckets are
+    cut into blocks, and so are the other members that meet it in any bucket; each
+    block meets each of the other kind in one cell, whatever the number
+    of buckets they share. The others of a bucket meet one another in cells of
+    two blocks. Cells have at most about two GROUPs of rows."""
     sizes = labelled.groupBy("band", "root").agg(F.count("*").alias("k"))
-    open_ = (sizes.groupBy("band").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.max("k").alias("k"), F.sum("k").alias("n"), F.count("*").alias("parts"))
-             .where("parts > 1").select("band", "main", F.ceil(F.col("k") / GROUP).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("k")) / GROUP).cast("int").alias("others")))
-    rows = labelled.join(open_, "band").withColumn("h", F.xxhash64("node"))
-    main = rows.where("root = main").select("band", "node", "root", F.pmod("h", F.col("blocks")).cast("long").alias("cell"), F.lit(0).alias("side"))
+    open_ = sizes.groupBy("band").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("band", "main")
+    rows = materialize(labelled.join(open_, "band"), "open")
+
+    sides = rows.groupBy("main", "node", "root").agg(F.lit(1).alias("one")).withColumn("side", F.when(F.col("root") == F.col("main"), 0).otherwise(1)).drop("one")
+    counts = sides.groupBy("main").agg(_ceil_group(F.count(F.when(F.col("side") == 0, 1))).alias("n0"), _ceil_group(F.count(F.when(F.col("side") == 1, 1))).alias("n1"))
+    dealt = sides.join(counts, "main").withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("n0")).otherwise(F.col("n1"))).cast("int"))
+    dealt = dealt.withColumn("facing", F.when(F.col("side") == 0, F.col("n1")).otherwise(F.col("n0")))
+    facing = (dealt.select("main", "node", "root", "side", "own", _count_to("facing").alias("j"))
+              .select(F.col("main").alias("key"), F.when(F.col("side") == 0, F.struct(F.col("own").alias("a"), F.col("j").alias("b"))).otherwise(F.struct(F.col("j").alias("a"), F.col("own").alias("b"))).alias("cell"), "node", "root", "side"))
+
     rest = rows.where("root != main")
-    facing = rest.select("band", "node", "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("cell"), F.lit(1).alias("side"))
-    own = F.pmod("h", F.col("others")).cast("long")
-    among = (rest.select("band", "node", "root", own.alias("own"), F.col("others").cast("long").alias("others"),
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("others").cast("long") - 1)).alias("j"))
-             .select("band", "node", "root", (-1 - F.least("own", "j") * F.col("others") - F.greatest("own", "j")).alias("cell"),
-                     F.when(F.col("own") < F.col("j"), 1).otherwise(2).alias("side")))
-    cells = main.unionByName(facing).unionByName(among)
-    return (cells.join(nodes.select("node", "n_shingles", "signature"), "node")
-            .repartition(partitions(nodes.sparkSession), "band", "cell").sortWithinPartitions("band", "cell")
-            .mapInArrow(_near_pairs, "u binary, v binary").distinct())
+    others = rest.groupBy("band").agg(_ceil_group(F.count("*")).alias("n"), F.count("*").alias("m")).where("m > 1").select("band", "n")
+    spread = rest.join(others, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
+    among = (spread.select("band", "node", "root", "own", _count_to("n").alias("j"))
+             .select(F.encode(F.concat(F.lit("band "), F.col("band").cast("string")), "utf-8").alias("key"), F.struct(F.least("own", "j").alias("a"), F.greatest("own", "j").alias("b")).alias("cell"),
+                     "node", "root", F.when(F.col("own") < F.col("j"), 0).when(F.col("own") > F.col("j"), 1).otherwise(2).alias("side")))
+    cells = facing.unionByName(among).withColumn("cell", F.concat_ws("/", "cell.a", "cell.b"))
+    return (cells.join(texts, "node").repartition(partitions(texts.sparkSession), "key", "cell").sortWithinPartitions("key", "cell")
+            .select("key", "cell", "node", "root", "side", "text").mapInArrow(_cell_links(width), "u binary, v binary"))
+
+
+def _ceil_group(count):
+    return F.greatest(F.ceil(count / GROUP), F.lit(1)).cast("int")
 
 
 def _confirm(width: int):
@@ -211,12 +236,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, doc_id: str = "doc_id", tex
     """One row for each input row: doc_id, n_shingles, component_id, kept."""
     ship(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("uid"), F.col(text).alias("text"))
-    kind = "doc_id long, uid long, n_shingles long, node binary, signature binary, bands array<long>"
+    kind = "doc_id long, uid long, n_shingles long, node binary, bands array<long>"
     sketches = materialize(source.mapInArrow(_sketch(width), kind), "sketches")
     members = sketches.select("doc_id", "uid", "n_shingles", "node")
     # one document stands for all that have its set
     chosen = members.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("uid").alias("uid"))
-    nodes = sketches.where("node IS NOT NULL").select("node", "n_shingles", "signature", "bands").dropDuplicates(["node"])
+    nodes = sketches.where("node IS NOT NULL").select("node", "bands").dropDuplicates(["node"])
 
     banded = nodes.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("band", "hub")
@@ -230,7 +255,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, doc_id: str = "doc_id", tex
     found = components(links)
 
     labelled = bucketed.join(found, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    more = materialize(_confirmed(_across(labelled, nodes), texts, width), "more")
+    more = materialize(_across(labelled, texts, width), "more")
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
