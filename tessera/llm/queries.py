@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tessera.llm import bpe, chat, decontam, fingerprint, langid, neardup, sharding, suffixdedup, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_shard")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
+
+
+_query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
