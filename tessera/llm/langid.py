@@ -48,20 +48,13 @@ def _letters(texts: list[str], owners: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Code points + 2 of the words of all texts with a 1 at each word border
     (0 is left for "no character"), and the owner of each place."""
     lowered = [t.lower() for t in texts]
-    sizes = np.array([len(t) + 1 for t in lowered])
-    points = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(t) + 2 for t in lowered])  # each text between two borders of its own
+    points = np.frombuffer("".join([f"\n{t}\n" for t in lowered]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     letter = class_table()[points] == _LETTER
     owner = np.repeat(owners, sizes)
-    # one border before each word and, for a text's last word, one behind it
-    follows = np.append(letter[1:], False)
-    behind = np.append(False, letter[:-1])
-    keep = letter | follows | behind
-    chars = np.where(letter, points + np.uint64(2), np.uint64(1))[keep]
-    owner = owner[keep]
-    # the first letter of all texts may have no border before it
-    if len(chars) and chars[0] != 1:
-        chars, owner = np.append(np.uint64(1), chars), np.append(owner[:1], owner)
-    return chars, owner
+    # a border stays if a letter is beside it
+    keep = letter | np.append(letter[1:], False) | np.append(False, letter[:-1])
+    return np.where(letter, points + np.uint64(2), np.uint64(1))[keep], owner[keep]
 
 
 def gram_counts(texts: list[str], owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
