@@ -1,17 +1,18 @@
 """W1/W2 window operators that stay parallel under a hot partition key.
 
 A plain ``Window.partitionBy(k).orderBy(t)`` sends every row of key ``k`` to
-one task. If one key holds a third of the data, that task holds a third of
-the data. Here the ordering column is cut into fixed-width buckets:
+one task. Here the ordering column is cut into ranges of about equal rows:
 
-1. per (key, bucket) totals - a partial aggregation, skew-safe;
-2. prefix over buckets of a key - one row per bucket, tiny;
-3. the window within (key, bucket) - a hot key is spread over its buckets;
-4. result = prefix of earlier buckets + value within the bucket.
+1. split points = approximate quantiles of the ordering column over all rows,
+   so a key whose rows crowd into a short time is still cut;
+2. per (key, range) totals - a partial aggregation, skew-safe;
+3. prefix over the ranges of a key - at most ``RANGES`` + 1 rows a key;
+4. the window within (key, range) - a hot key is spread over its ranges;
+5. result = prefix of earlier ranges + value within the range.
 
-Ties on the ordering column always fall in one bucket, so RANGE semantics
-(tied rows share a running total) are kept exactly. No row is dropped or
-sampled.
+Ties on the ordering column fall in one range, so RANGE semantics (tied rows
+share a running total) are kept. NULL keys form a key of their own, rows with a
+NULL ordering value come first, as in a plain window. No row is dropped.
 """
 
 from __future__ import annotations
@@ -19,37 +20,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranges the ordering column is cut into: the tasks a single key can fill.
+RANGES = 64
 
-def _bucket(order_col: str, bucket_seconds: int) -> Column:
-    return F.floor(F.unix_timestamp(F.col(order_col).cast("timestamp")) / F.lit(bucket_seconds))
+
+def _range_of(df: DataFrame, order_col: str, ranges: int) -> Column:
+    """Number of split points below the value; NULL values in range -1."""
+    value = F.col(order_col).cast("timestamp").cast("double")
+    points = df.agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)])).first()[0] or []
+    number = F.lit(0)
+    for p in sorted(set(points)):
+        number = number + F.when(value > p, 1).otherwise(0)
+    return F.when(F.col(order_col).isNull(), -1).otherwise(number)
+
+
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    cond = a["_b"] == b["_b2"]
+    for k in keys:
+        cond = cond & a[k].eqNullSafe(b[f"_k_{k}"])
+    return cond
+
+
+def _with_prefix(ranged: DataFrame, keys: list[str], total: Column, within: Column) -> DataFrame:
+    """Adds ``_pre`` (total over the key's earlier ranges, NULL if none) and ``_in``."""
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = ranged.groupBy(*keys, "_b").agg(total.alias("_t")).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_b2"), F.sum("_t").over(before).alias("_pre"))
+    inside = ranged.withColumn("_in", within)
+    return inside.join(prefix, _same(inside, prefix, keys)).drop("_b2", *[f"_k_{k}" for k in keys])
 
 
 def running_total(df: DataFrame, keys: list[str], order_col: str, value_col: str,
-                  out: str = "running_total", bucket_seconds: int = 90 * 86400) -> DataFrame:
-    """sum(value) over (partition by keys order by order_col), default
-    frame RANGE UNBOUNDED PRECEDING .. CURRENT ROW."""
-    b = df.withColumn("_b", _bucket(order_col, bucket_seconds))
-    per_bucket = b.groupBy(*keys, "_b").agg(F.sum(value_col).alias("_bs"))
-    w_prefix = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_bucket.select(*keys, "_b", F.coalesce(F.sum("_bs").over(w_prefix), F.lit(0)).alias("_pre"))
-    w_in = Window.partitionBy(*keys, "_b").orderBy(order_col)
-    within = b.withColumn("_in", F.sum(value_col).over(w_in))
-    return (within.join(prefix, on=[*keys, "_b"], how="inner")
-                  .withColumn(out, F.col("_pre") + F.col("_in"))
-                  .drop("_b", "_in", "_pre"))
+                  out: str = "running_total", ranges: int = RANGES) -> DataFrame:
+    """sum(value) over (partition by keys order by order_col), default frame
+    RANGE UNBOUNDED PRECEDING .. CURRENT ROW. NULL values add nothing; the total
+    is NULL only while all values so far are NULL."""
+    ranged = df.withColumn("_b", _range_of(df, order_col, ranges))
+    within = F.sum(value_col).over(Window.partitionBy(*keys, "_b").orderBy(order_col))
+    both = _with_prefix(ranged, keys, F.sum(value_col), within)
+    return both.withColumn(out, F.coalesce(F.col("_pre") + F.col("_in"), "_in", "_pre")).drop("_b", "_in", "_pre")
 
 
 def row_number(df: DataFrame, keys: list[str], order_cols: list[str], out: str = "order_rank",
-               bucket_seconds: int = 90 * 86400) -> DataFrame:
-    """row_number() over (partition by keys order by order_cols); the
-    first order column is a timestamp/date used for bucketing, the rest must
-    make the order unique (row_number is otherwise non-deterministic)."""
-    b = df.withColumn("_b", _bucket(order_cols[0], bucket_seconds))
-    per_bucket = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    w_prefix = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_bucket.select(*keys, "_b", F.coalesce(F.sum("_bn").over(w_prefix), F.lit(0)).alias("_pre"))
-    w_in = Window.partitionBy(*keys, "_b").orderBy(*order_cols)
-    within = b.withColumn("_in", F.row_number().over(w_in))
-    return (within.join(prefix, on=[*keys, "_b"], how="inner")
-                  .withColumn(out, (F.col("_pre") + F.col("_in")).cast("int"))
-                  .drop("_b", "_in", "_pre"))
+               ranges: int = RANGES) -> DataFrame:
+    """row_number() over (partition by keys order by order_cols); the first
+    order column is a timestamp/date used for the ranges, the rest must make the
+    order unique (row_number is otherwise non-deterministic)."""
+    ranged = df.withColumn("_b", _range_of(df, order_cols[0], ranges))
+    within = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order_cols))
+    both = _with_prefix(ranged, keys, F.count(F.lit(1)), within)
+    return both.withColumn(out, (F.coalesce("_pre", F.lit(0)) + F.col("_in")).cast("int")).drop("_b", "_in", "_pre")
