@@ -1,28 +1,30 @@
-"""Streaming queries: the provided ``events`` table is landed as time-ordered
-file slices (the event log), then consumed by Structured Streaming with
-``availableNow``; each query returns the batch read of its sink, which is
-compared with the batch result of the same logic."""
+"""Streaming queries: Structured Streaming reads the files of the provided
+``events`` table (or an envelope written from it) with ``availableNow``; each
+query returns the batch read of its sink, which is compared with the batch
+result of the same logic."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.time import parse_iso_ts
+from tessera.plans import pipeline
 from tessera.plans.catalog import query
 from tessera.plans.q_files import EVENTS_SCHEMA
+from tessera.plans.q_medallion import _BRONZE
+from tessera.sinks.tables import table_name
 from tessera.session import work_path
 from tessera.sources import load
+from tessera.sources.tables import table_path
 from tessera.streaming import jobs
 
-N_SLICES = 4
 ENVELOPE_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
                                 T.StructField("timestamp", T.TimestampType())])
 
 
-def _landed_events(spark, sf_dir, name: str) -> tuple[str, str]:
-    base = work_path(spark, name)
-    jobs.stage_slices(load(spark, sf_dir, "events"), f"{base}/in", "ts", N_SLICES)
-    return base, f"{base}/in"
+def _events_stream(spark, sf_dir):
+    return jobs.file_stream(spark, table_path(sf_dir, "events"), EVENTS_SCHEMA)
 
 
 def _bucket_sql(seconds: int) -> str:
@@ -31,15 +33,15 @@ def _bucket_sql(seconds: int) -> str:
 
 @query("stream_ingest_files", "S8 K10 R7", sql="SELECT * FROM events")
 def stream_ingest_files(spark, sf_dir):
-    base, inp = _landed_events(spark, sf_dir, "stream_ingest")
-    jobs.run_to_files(jobs.file_stream(spark, inp, EVENTS_SCHEMA), f"{base}/out", f"{base}/cp")
+    base = work_path(spark, "stream_ingest")
+    jobs.run_to_files(_events_stream(spark, sf_dir), f"{base}/out", f"{base}/cp")
     return spark.read.parquet(f"{base}/out")
 
 
 @query("stream_filter", "R2 D12", sql="SELECT * FROM events WHERE event_type = 'purchase' AND user_id IS NOT NULL")
 def stream_filter(spark, sf_dir):
-    base, inp = _landed_events(spark, sf_dir, "stream_filter")
-    s = (jobs.file_stream(spark, inp, EVENTS_SCHEMA)
+    base = work_path(spark, "stream_filter")
+    s = (_events_stream(spark, sf_dir)
          .filter((F.col("event_type") == "purchase") & F.col("user_id").isNotNull())
          .withColumn("processed_at", F.current_timestamp()))
     jobs.run_to_files(s, f"{base}/out", f"{base}/cp")
@@ -50,10 +52,9 @@ def stream_filter(spark, sf_dir):
        sql=f"""SELECT {_bucket_sql(10)} AS window_start, {_bucket_sql(10)} + INTERVAL 10 SECOND AS window_end,
        event_type, count(*) AS count, sum(value) AS total_value FROM events GROUP BY ALL""")
 def stream_tumbling_counts(spark, sf_dir):
-    base, inp = _landed_events(spark, sf_dir, "stream_counts")
-    s = jobs.file_stream(spark, inp, EVENTS_SCHEMA).withColumn("event_time", jobs.event_time("ts"))
-    agg = jobs.tumbling(s, "event_time", "10 seconds", ["event_type"],
-                        [F.count(F.lit(1)).alias("count"), F.sum("value").alias("total_value")], "10 minutes")
+    base = work_path(spark, "stream_counts")
+    s = _events_stream(spark, sf_dir).withColumn("event_time", jobs.event_time("ts"))
+    agg = jobs.tumbling(s, "event_time", 10, ["event_type"], [F.count(F.lit(1)).alias("count"), F.sum("value").alias("total_value")])
     jobs.run_update_mode(agg, f"{base}/out", f"{base}/cp")
     return jobs.latest_state(spark, f"{base}/out", ["window_start", "window_end", "event_type"])
 
@@ -63,24 +64,25 @@ def stream_tumbling_counts(spark, sf_dir):
        TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS product, count(*) AS orders, sum(value) AS revenue
        FROM events WHERE event_type = 'purchase' GROUP BY ALL""")
 def stream_tumbling_revenue(spark, sf_dir):
-    base, inp = _landed_events(spark, sf_dir, "stream_revenue")
-    s = (jobs.file_stream(spark, inp, EVENTS_SCHEMA).filter(F.col("event_type") == "purchase")
+    base = work_path(spark, "stream_revenue")
+    s = (_events_stream(spark, sf_dir).filter(F.col("event_type") == "purchase")
          .withColumns({"event_time": jobs.event_time("ts"),
                        "product": F.get_json_object("props", "$.k").try_cast("int")}))
-    agg = jobs.tumbling(s, "event_time", "30 seconds", ["product"],
-                        [F.count(F.lit(1)).alias("orders"), F.sum("value").alias("revenue")], "1 hour")
+    agg = jobs.tumbling(s, "event_time", 30, ["product"], [F.count(F.lit(1)).alias("orders"), F.sum("value").alias("revenue")])
     jobs.run_update_mode(agg, f"{base}/out", f"{base}/cp")
     return jobs.latest_state(spark, f"{base}/out", ["window_start", "window_end", "product"])
 
 
-@query("stream_watermark_append", "R5 R6")
+@query("stream_watermark_append", "R5 R6",
+       sql=f"""WITH w AS (SELECT {_bucket_sql(300)} AS window_start, event_type, count(*) AS count FROM events WHERE ts IS NOT NULL GROUP BY ALL)
+       SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_type, count FROM w
+       WHERE window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 def stream_watermark_append(spark, sf_dir):
     # append mode: a window is emitted once the watermark (max event time
     # - 10 min) passes its end; the last open windows are never emitted.
-    base, inp = _landed_events(spark, sf_dir, "stream_append")
-    s = jobs.file_stream(spark, inp, EVENTS_SCHEMA).withColumn("event_time", jobs.event_time("ts"))
-    agg = jobs.tumbling(s, "event_time", "5 minutes", ["event_type"], [F.count(F.lit(1)).alias("count")],
-                        "10 minutes")
+    base = work_path(spark, "stream_append")
+    s = _events_stream(spark, sf_dir).withColumn("event_time", jobs.event_time("ts"))
+    agg = jobs.tumbling(s, "event_time", 300, ["event_type"], [F.count(F.lit(1)).alias("count")], "10 minutes")
     jobs.run_to_files(agg, f"{base}/out", f"{base}/cp")
     return spark.read.parquet(f"{base}/out")
 
@@ -100,25 +102,37 @@ def stream_parse_envelope(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+@query("stream_order_log", "D6 S5 R1 F2",
+       sql="WITH " + _BRONZE + " SELECT * FROM bronze")
+def stream_order_log(spark, sf_dir):
+    """The order event log through the envelope, with its event time parsed."""
+    base = work_path(spark, "stream_order_log")
+    log = pipeline.event_log(spark, sf_dir)
+    at = F.timestamp_seconds("ts_seconds")
+    jobs.to_envelope(log.withColumn("_at", at), "order_id", "_at", value_columns=log.columns).write.parquet(f"{base}/in")
+    s = jobs.parse_envelope(jobs.file_stream(spark, f"{base}/in", ENVELOPE_SCHEMA), log.schema)
+    jobs.run_to_files(s.withColumn("event_timestamp", parse_iso_ts("ts").cast("timestamp_ntz")), f"{base}/out", f"{base}/cp")
+    return spark.read.parquet(f"{base}/out")
+
+
 @query("stream_to_table", "K9 D20",
        sql="SELECT count(*) AS purchases, sum(value) AS purchase_total FROM events WHERE event_type = 'purchase'")
 def stream_to_table(spark, sf_dir):
-    from tessera.sinks.tables import table_name
-
-    base, inp = _landed_events(spark, sf_dir, "stream_table")
-    name = table_name("events_stream")
-    s = jobs.file_stream(spark, inp, EVENTS_SCHEMA).withColumn("processed_at", F.current_timestamp())
-    jobs.run_to_table(s, name, f"{base}/table", f"{base}/cp")
+    """Event log -> envelope -> parsed stream -> named table -> filtered total."""
+    base, name = work_path(spark, "stream_table"), table_name("events_stream")
+    jobs.to_envelope(load(spark, sf_dir, "events"), "event_id", "ts").write.json(f"{base}/in")
+    s = jobs.parse_envelope(jobs.file_stream(spark, f"{base}/in", ENVELOPE_SCHEMA, fmt="json"), EVENTS_SCHEMA)
+    jobs.run_to_table(s.withColumn("processed_at", F.current_timestamp()), name, f"{base}/table", f"{base}/cp")
     t = spark.table(name).filter(F.col("event_type") == "purchase")
     return t.agg(F.count(F.lit(1)).alias("purchases"), F.sum("value").alias("purchase_total"))
 
 
-@query("stream_chain", "S9", sql="SELECT * FROM events WHERE value > 10")
+@query("stream_chain", "S9 K9", sql="SELECT * FROM events WHERE value > 10")
 def stream_chain(spark, sf_dir):
-    base, inp = _landed_events(spark, sf_dir, "stream_chain")
-    jobs.run_to_files(jobs.file_stream(spark, inp, EVENTS_SCHEMA), f"{base}/a", f"{base}/cp_a")
-    down = jobs.file_stream(spark, f"{base}/a", EVENTS_SCHEMA, max_files_per_trigger=None).filter(F.col("value") > 10)
-    jobs.run_to_files(down, f"{base}/b", f"{base}/cp_b")
+    """A stream appends to a named table, a second one reads that table."""
+    base, name = work_path(spark, "stream_chain"), table_name("events_chain")
+    jobs.run_to_table(_events_stream(spark, sf_dir), name, f"{base}/a", f"{base}/cp_a")
+    jobs.run_to_files(jobs.table_stream(spark, name).filter(F.col("value") > 10), f"{base}/b", f"{base}/cp_b")
     return spark.read.parquet(f"{base}/b")
 
 
@@ -140,8 +154,8 @@ def stream_restart_no_dups(spark, sf_dir):
 @query("stream_to_files", "K10 K7 R7", sql="SELECT *, CAST(ts AS DATE) AS event_date FROM events")
 def stream_to_files(spark, sf_dir):
     """Checkpointed append of a stream into date-partitioned Parquet."""
-    base, inp = _landed_events(spark, sf_dir, "stream_to_files")
-    s = jobs.file_stream(spark, inp, EVENTS_SCHEMA).withColumn("event_date", F.to_date("ts"))
+    base = work_path(spark, "stream_to_files")
+    s = _events_stream(spark, sf_dir).withColumn("event_date", F.to_date("ts"))
     jobs.run_to_files(s, f"{base}/out", f"{base}/cp", partition_by=["event_date"])
     return spark.read.parquet(f"{base}/out")
 

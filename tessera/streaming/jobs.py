@@ -3,9 +3,11 @@
 Kafka is not available here, so an event log is a directory of files with
 the same ``key, value, timestamp`` envelope (or the plain event columns);
 the parsing and aggregation code takes any streaming DataFrame and is
-source-agnostic. Every query runs with ``trigger(availableNow=True)`` and a
-checkpoint under the shared folder, so a restart resumes from the commit
-log without duplicates (the file sink's ``_spark_metadata`` is the commit).
+source-agnostic. Queries stream a table's own files, without staging them. A run
+has a trigger (``availableNow`` by default: all there is, then stop) and a
+checkpoint under the shared folder, so a restart resumes from the commit log
+without duplicates (the file sink's ``_spark_metadata`` is the commit). A run
+ends when its stream does; how long that takes is the cluster's business.
 """
 
 from __future__ import annotations
@@ -14,18 +16,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_TIMEOUT_S = 900
 # JSON keeps microseconds (the default text form stops at milliseconds)
 JSON_TS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
            "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 # ----------------------------------------------------------------- envelope
-def to_envelope(df: DataFrame, key: str, ts: str) -> DataFrame:
+def to_envelope(df: DataFrame, key: str, ts: str, value_columns: list[str] | None = None) -> DataFrame:
     """Keyed JSON events: key = the key column as text, value = JSON of
-    the whole row, timestamp = the event time (the shape a Kafka writer takes)."""
+    the row, timestamp = the event time (the shape a Kafka writer takes)."""
     return df.select(F.col(key).cast("string").alias("key"),
-                     F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_TS).alias("value"),
+                     F.to_json(F.struct(*[F.col(c) for c in value_columns or df.columns]), JSON_TS).alias("value"),
                      F.col(ts).cast("timestamp").alias("timestamp"))
 
 
@@ -39,53 +40,44 @@ def parse_envelope(env: DataFrame, schema: T.StructType, keep_log_time: bool = F
 
 
 # ------------------------------------------------------------------ sources
-def stage_slices(df: DataFrame, path: str, order_col: str, n_slices: int) -> None:
-    """Land a table as ``n_slices`` time slices written one after another, so
-    a file stream sees them in event-time order (the file source orders by
-    modification time). Each slice is a distributed write; only the min/max
-    of the ordering column come back to the driver."""
-    t = F.unix_timestamp(F.col(order_col).cast("timestamp"))
-    lo, hi = df.agg(F.min(t), F.max(t)).first()
-    if lo is None:
-        df.limit(0).write.mode("append").parquet(path)
-        return
-    step = (hi - lo) // n_slices + 1
-    for i in range(n_slices):
-        part = df.filter((t >= lo + i * step) & (t < lo + (i + 1) * step))
-        part.write.mode("append").parquet(path)
-
-
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = 1) -> DataFrame:
-    """Incremental file ingestion (only new files are picked up)."""
-    r = spark.readStream.schema(schema).format(fmt)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(path)
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """Incremental file ingestion (only new files are picked up). A batch
+    takes all files that are there: with a cap, a watermark moved by one file
+    would make rows of the next look late."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(place) and files.getFileStatus(place).isFile():  # a file source watches folders
+        return reader.option("pathGlobFilter", place.getName()).load(place.getParent().toString())
+    return reader.load(path)
+
+
+def table_stream(spark: SparkSession, table: str) -> DataFrame:
+    """Stream of the rows appended to a named table."""
+    return spark.readStream.table(table)
 
 
 # -------------------------------------------------------------------- sinks
 def run_to_files(stream: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
-                 partition_by: list[str] | None = None, timeout_s: int = DEFAULT_TIMEOUT_S):
-    """K10 (and R6 append, R7 availableNow, R8 exactly-once)."""
-    w = (stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-         .option("path", sink).trigger(availableNow=True))
+                 partition_by: list[str] | None = None, every: str | None = None):
+    """K10 (and R6 append, R8 exactly-once). R7: with ``every`` the query starts a
+    batch at that interval and is returned running, else it takes what is
+    there and ends."""
+    w = stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint).option("path", sink)
+    w = w.trigger(processingTime=every) if every else w.trigger(availableNow=True)
     if partition_by:
         w = w.partitionBy(*partition_by)
     q = w.start()
-    _await(q, timeout_s)
-    return q
+    return q if every else _finished(q)
 
 
-def run_to_table(stream: DataFrame, table: str, path: str, checkpoint: str, timeout_s: int = DEFAULT_TIMEOUT_S):
+def run_to_table(stream: DataFrame, table: str, path: str, checkpoint: str):
     """K9: checkpointed append into a named Parquet table."""
-    q = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", path)
-         .trigger(availableNow=True).toTable(table))
-    _await(q, timeout_s)
-    return q
+    return _finished(stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", path)
+                     .trigger(availableNow=True).toTable(table))
 
 
-def run_update_mode(stream: DataFrame, sink: str, checkpoint: str, timeout_s: int = DEFAULT_TIMEOUT_S):
+def run_update_mode(stream: DataFrame, sink: str, checkpoint: str):
     """R6 update mode: each micro-batch's changed rows are written to
     ``sink/_batch=<id>`` with overwrite, so a replayed batch rewrites the
     same folder (idempotent). ``latest_state`` folds them."""
@@ -93,32 +85,31 @@ def run_update_mode(stream: DataFrame, sink: str, checkpoint: str, timeout_s: in
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/_batch={batch_id}")
 
-    q = (stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(write_batch).trigger(availableNow=True).start())
-    _await(q, timeout_s)
-    return q
+    return _finished(stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+                     .foreachBatch(write_batch).trigger(availableNow=True).start())
 
 
 def latest_state(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
-    """Final table of an update-mode stream: per key the row of the last
-    batch that emitted it (partial aggregation, no per-key collect)."""
+    """Final table of an update-mode stream: per key the row of the last batch
+    that emitted it. The last batch is a hash aggregation over numbers; its rows
+    are joined back by key and batch."""
     d = spark.read.parquet(sink)
-    vals = [c for c in d.columns if c not in keys and c != "_batch"]
-    return d.groupBy(*keys).agg(F.max_by(F.struct(*vals), "_batch").alias("_r")).select(*keys, "_r.*")
+    last = d.groupBy(*keys).agg(F.max("_batch").alias("_last")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_last")
+    cond = d["_batch"] == last["_last"]
+    for k in keys:
+        cond = cond & d[k].eqNullSafe(last[f"_k_{k}"])
+    return d.join(last.hint("shuffle_hash"), cond, "left_semi").drop("_batch")
 
 
-def _await(q, timeout_s: int) -> None:
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
-        q.stop()
-        raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise q.exception()
+def _finished(q):
+    q.awaitTermination()  # raises what ended the stream, if anything did
+    return q
 
 
-def rows_written(q) -> int:
-    """Input rows summed over the query's reported progress."""
-    return sum(int(p["numInputRows"]) for p in q.recentProgress)
+def rows_written(spark: SparkSession, sink: str) -> int:
+    """Rows committed to a sink so far, from the sink itself: a query's own
+    progress reports are kept for its last batches only."""
+    return spark.read.parquet(sink).count()
 
 
 # --------------------------------------------------------------- operators
@@ -127,11 +118,20 @@ def event_time(col: str) -> Column:
     return F.col(col).cast("timestamp")
 
 
-def tumbling(stream: DataFrame, time_col: str, size: str, keys: list[str], aggs: list[Column],
-             watermark: str | None) -> DataFrame:
-    """Tumbling-window aggregate with flattened window bounds."""
-    s = stream.withWatermark(time_col, watermark) if watermark else stream
-    g = s.groupBy(F.window(time_col, size).alias("w"), *keys).agg(*aggs)
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys,
-                    *[c for c in g.columns if c not in ("w", *keys)])
+def tumbling(stream: DataFrame, time_col: str, seconds: int, keys: list[str], aggs: list[Column],
+             watermark: str | None = None) -> DataFrame:
+    """Tumbling-window aggregate with flattened window bounds.
+
+    Without a watermark no row is ever late, and rows without an event time form a
+    window without bounds. With one, windows close when it passes them; rows
+    without an event time can belong to no such window and are left out.
+    """
+    if watermark:
+        g = stream.withWatermark(time_col, watermark).groupBy(F.window(time_col, f"{seconds} seconds").alias("w"), *keys).agg(*aggs)
+        start, end = F.col("w.start"), F.col("w.end")
+    else:
+        at = F.floor(F.unix_micros(F.col(time_col)) / F.lit(seconds * 1_000_000)).cast("long").alias("w")
+        g = stream.groupBy(at, *keys).agg(*aggs)
+        start, end = F.timestamp_seconds(F.col("w") * seconds), F.timestamp_seconds((F.col("w") + 1) * seconds)
+    return g.select(start.cast("timestamp_ntz").alias("window_start"), end.cast("timestamp_ntz").alias("window_end"),
+                    *keys, *[c for c in g.columns if c not in ("w", *keys)])
