@@ -6,8 +6,9 @@ queries scan the silver table instead of regenerating and re-parsing the raw
 event log. A written table also cuts lineage, so a lost executor re-reads
 Parquet rather than recomputing the layers below.
 
-Layers are keyed by session and input folder; ``reset()`` forgets them (a
-new pipeline run rebuilds from the inputs).
+Layers are keyed by application, input folder and the state of the input's
+files (path, length, modification time), so a changed input gets new layers;
+``reset()`` forgets them all (a new pipeline run rebuilds from the inputs).
 """
 
 from __future__ import annotations
@@ -18,12 +19,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.plans import medallion
 from tessera.session import work_path
+from tessera.sources.tables import table_path
 
-_WRITTEN: dict[tuple[int, str, str], str] = {}
+#: The tables all layers derive from.
+INPUTS = ("orders", "customer", "lineitem", "part", "nation")
+
+_WRITTEN: dict[tuple, str] = {}
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> str:
+    """Path, length and modification time of the input files, by their own file system."""
+    jvm = spark.sparkContext._jvm
+    found = []
+    for name in INPUTS:
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return " ".join(sorted(found))
 
 
 def layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_state(spark, sf_dir), name)
     path = _WRITTEN.get(key)
     if path is None:
         path = work_path(spark, f"layer_{name}")

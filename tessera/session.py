@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Session settings we rely on for correct results (not tuning).
@@ -21,7 +22,7 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Defaults for local runs. On a cluster these come from spark-defaults.
+# Used only where a session is built on a local master and the key is not set.
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
@@ -30,22 +31,30 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
 def get_spark(master: str | None = None, app: str = "tessera", **conf: str) -> SparkSession:
-    """Return the active session, or build a local one for tests and bench."""
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
-    elif not SparkSession.getActiveSession():
-        builder = builder.master(os.environ.get("TESSERA_MASTER", "local[8]"))
-    for k, v in {**LOCAL_CONF, **REQUIRED_CONF, **conf}.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    configure(spark)
-    return spark
+    """Return the active session, or build one. What spark-submit or
+    spark-defaults set is never overridden; a master and the local defaults are
+    only filled in where none is configured."""
+    active = SparkSession.getActiveSession()
+    if active is None:
+        given = SparkConf()
+        builder = SparkSession.builder.appName(app)
+        if master or not given.contains("spark.master"):
+            builder = builder.master(master or os.environ.get("TESSERA_MASTER", "local[8]"))
+        if (master or given.get("spark.master", "local")).startswith("local"):
+            for k, v in LOCAL_CONF.items():
+                if not given.contains(k):
+                    builder = builder.config(k, v)
+        for k, v in {**REQUIRED_CONF, **conf}.items():
+            builder = builder.config(k, v)
+        active = builder.getOrCreate()
+    else:
+        for k, v in conf.items():
+            active.conf.set(k, v)
+    return configure(active)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -59,9 +68,10 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job outputs.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) do we choose a folder ourselves and register it, so that
-    ``df.checkpoint()`` works.
+    Reads ``spark.checkpoint.dir`` from the session. Only on a local master, when
+    it is unset (tests), do we choose a folder ourselves and register it, so that
+    ``df.checkpoint()`` works; on a cluster a local folder would be a different
+    one on each machine, so that is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -69,6 +79,8 @@ def shared_root(spark: SparkSession) -> str:
         current = sc._jsc.sc().getCheckpointDir()
         root = current.get() if current.isDefined() else None
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(root)
