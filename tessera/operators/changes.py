@@ -2,9 +2,10 @@
 
 There is no table format here: a table's history is a change log with one
 row per change ``(key, cols..., _op in {I,U,D}, _version, _committed_at)``.
-Reading a version is an aggregation per key (latest change at or before
-the version), done with ``max_by`` so it is partial-aggregated map-side and a
-key with very many versions never sits whole in one task.
+Reading a version is a hash aggregation per key (latest version at or before
+the one asked for: a number, so nothing is sorted and a key with very many
+versions is reduced map-side), joined back to the change it names. A key has at
+most one change in a version.
 """
 
 from __future__ import annotations
@@ -35,9 +36,11 @@ def evolve(old: DataFrame, new: DataFrame, renames: dict[str, str] | None = None
 
 
 def _latest(log: DataFrame, keys: list[str]) -> DataFrame:
-    cols = [c for c in log.columns if c not in keys]
-    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_version").alias("_r"))
-    return latest.select(*keys, "_r.*")
+    latest = log.groupBy(*keys).agg(F.max("_version").alias("_latest")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_latest")
+    cond = log["_version"] == latest["_latest"]
+    for k in keys:
+        cond = cond & log[k].eqNullSafe(latest[f"_k_{k}"])
+    return log.join(latest.hint("shuffle_hash"), cond, "left_semi")
 
 
 def as_of_version(log: DataFrame, keys: list[str], version: int | Column) -> DataFrame:

@@ -1,10 +1,9 @@
 """J1-J7 join helpers.
 
-Broadcast is only used behind a size check with a shuffle join beyond it:
-``broadcast_if_small`` counts at most ``max_rows + 1`` rows (a bounded,
-early-stopping job) and hints a broadcast only when the side is under the
-bound; otherwise it returns the frame unchanged and Catalyst/AQE pick a
-sort-merge join (or convert at runtime when actual sizes are small).
+No side is broadcast by hand: Catalyst broadcasts a side whose size statistics
+in bytes are below ``spark.sql.autoBroadcastJoinThreshold``, AQE does so at run
+time when the actual bytes are, and splits skewed partitions of the shuffle
+joins beyond it.
 """
 
 from __future__ import annotations
@@ -12,22 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows we are willing to ship to every executor. A dimension above this is
-# joined by shuffle instead.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def left_lookup(fact: DataFrame, dim: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def left_lookup(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
     """Fact LEFT JOIN dim; unmatched fact rows keep NULL attributes."""
-    return fact.join(broadcast_if_small(dim, max_rows), on=on, how="left")
+    return fact.join(dim, on=on, how="left")
 
 
 def orphan_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:

@@ -80,7 +80,12 @@ def as_of_version(spark, sf_dir):
     return changes.as_of_version(orders_change_log(spark, sf_dir), KEYS, 7)
 
 
-AS_OF_TS = "2024-01-08 12:00:00"
+@query("as_of_version_after_deletes", "T4", sql=_as_of_sql("_version <= 10"))
+def as_of_version_after_deletes(spark, sf_dir):
+    return changes.as_of_version(orders_change_log(spark, sf_dir), KEYS, 10)
+
+
+AS_OF_TS = "2024-01-10 12:00:00"  # after version 9, in which the first rows are deleted
 
 
 @query("as_of_timestamp", "T5", sql=_as_of_sql(f"_committed_at <= TIMESTAMP '{AS_OF_TS}'"))

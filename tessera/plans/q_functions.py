@@ -120,7 +120,7 @@ c AS (
          CAST(json_extract_string(o.body, '$.customer_lon') AS DOUBLE) AS clon,
          CAST(10.0 AS DOUBLE) + n.n_nationkey * CAST(2.0 AS DOUBLE) AS klat,
          CAST(-120.0 AS DOUBLE) + n.n_nationkey * CAST(3.0 AS DOUBLE) AS klon
-  FROM order_log o JOIN nation n ON o.location_id = n.n_nationkey WHERE o.event_type = 'order_created')
+  FROM order_log o LEFT JOIN nation n ON o.location_id = n.n_nationkey WHERE o.event_type = 'order_created')
 SELECT order_id, sqrt((clat - klat) * (clat - klat) + (clon - klon) * (clon - klon)) * 111 AS distance_km,
        klat + (clat - klat) * CAST(0.5 AS DOUBLE) AS mid_lat, klon + (clon - klon) * CAST(0.5 AS DOUBLE) AS mid_lon
 FROM c""")
@@ -130,7 +130,7 @@ def geo_distance(spark, sf_dir):
                                                  F.col("lon").alias("klon"))
     b = parse_body("body", "customer_lat double, customer_lon double")
     c = log.select("order_id", "location_id", b["customer_lat"].alias("clat"), b["customer_lon"].alias("clon"))
-    c = c.join(loc, "location_id")
+    c = c.join(loc, "location_id", "left")  # orders without a known place keep NULL distances
     half = F.lit(0.5)
     return c.select("order_id",
                     distance_km(F.col("klat"), F.col("klon"), F.col("clat"), F.col("clon")).alias("distance_km"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.time import time_features
 from tessera.operators import windows
-from tessera.operators.joins import broadcast_if_small, left_lookup, orphan_keys
+from tessera.operators.joins import left_lookup, orphan_keys
 from tessera.plans import domain
 from tessera.plans.catalog import query
 from tessera.sources import TABLES, load
@@ -106,8 +106,8 @@ def inner_join(spark, sf_dir):
 def broadcast_inner_join(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
-    # broadcast only when the customer side is under the row bound
-    return o.join(broadcast_if_small(c), "o_custkey", "inner").select(
+    # no hint: broadcast while the customer side is under the byte threshold
+    return o.join(c, "o_custkey", "inner").select(
         "o_orderkey", "o_custkey", "c_name", "c_mktsegment", "o_totalprice")
 
 
@@ -248,10 +248,14 @@ def sorted_output(spark, sf_dir):
     return load(spark, sf_dir, "orders").orderBy(F.desc("o_orderdate"), F.asc("o_orderkey"))
 
 
-@query("head_n", "O3")
+@query("head_n", "O3",
+       sql="""SELECT least(count(*), 100) AS n_rows, least(count(*), 100) AS n_distinct, true AS all_in_table FROM events""")
 def head_n(spark, sf_dir):
-    # a sampling operator: the limit is the feature (rows-only check)
-    return _ev(spark, sf_dir).limit(100)
+    # which rows a limit gives is open; how many, and that they are rows of the table, is not
+    head = _ev(spark, sf_dir).limit(100)
+    ids = _ev(spark, sf_dir).select(F.col("event_id").alias("known")).distinct()
+    return head.join(ids, F.col("event_id") == F.col("known"), "left").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_id").alias("n_distinct"), F.bool_and(F.col("known").isNotNull()).alias("all_in_table"))
 
 
 @query("table_counts", "U1 A7",

@@ -1,8 +1,8 @@
 """Writes and file-level jobs.
 
 All locations live under the shared folder named by ``spark.checkpoint.dir``
-(see ``tessera.session.work_path``); nothing is written to a machine-local
-temp folder. Every job writes to a fresh location and never overwrites the
+(see ``tessera.session.work_path``, which refuses to choose a folder of its own
+off a local master). Every job writes to a fresh location and never overwrites the
 path it is reading from.
 """
 
@@ -40,15 +40,24 @@ def ctas(spark: SparkSession, name: str, path: str, select_sql: str) -> DataFram
 
 def partitioned_write(df: DataFrame, path: str, by: list[str]) -> DataFrame:
     """K7: one directory per partition value (identity / day / hour columns
-    derived beforehand); readers prune on them."""
-    df.repartition(*by).write.mode("overwrite").partitionBy(*by).parquet(path)
+    derived beforehand); readers prune on them. The rebalance hint lets AQE join
+    small values in a task and split a large value over several, each writing a
+    file of about the session's advisory partition size."""
+    (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy(*by).parquet(path))
     return df.sparkSession.read.parquet(path)
 
 
-def export_sorted(df: DataFrame, path: str, order: list[str], n_files: int) -> DataFrame:
+def planned_bytes(df: DataFrame) -> int:
+    """Catalyst's size statistics of a frame, in bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def export_sorted(df: DataFrame, path: str, order: list[str], target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
     """Time-ordered export: range-partition on the sort keys (sampled
     boundaries, so a hot value does not land in one file), sort inside each
-    file, snappy Parquet."""
+    file, snappy Parquet; as many files as the size statistics ask for."""
+    n_files = max(1, -(-planned_bytes(df) // target_bytes))
     (df.repartitionByRange(n_files, *order).sortWithinPartitions(*order)
        .write.mode("overwrite").option("compression", "snappy").parquet(path))
     return df.sparkSession.read.parquet(path)

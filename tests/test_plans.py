@@ -33,28 +33,20 @@ def test_pivot_is_one_aggregate_pass(spark):
     assert p.count("Exchange hashpartitioning") == 1
 
 
-def test_broadcast_falls_back_to_shuffle_above_bound(spark):
-    from pyspark.sql import functions as F
+def test_lookup_broadcasts_by_bytes(spark):
+    from tessera.operators.joins import left_lookup
 
-    from tessera.operators.joins import broadcast_if_small
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # isolate our own check
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000b")
     try:
-        big = spark.range(0, 5000).withColumnRenamed("id", "k")
-        small = spark.range(0, 100).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in plan(big.join(broadcast_if_small(small, max_rows=1000), "k"))
-        assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_small(big.select(F.col("k")), max_rows=1000), "k"))
+        fact = spark.range(0, 50000).withColumnRenamed("id", "k")
+        small, large = (spark.range(0, n).withColumnRenamed("id", "k") for n in (100, 5000))
+        assert "BroadcastHashJoin" in plan(left_lookup(fact, small, "k"))
+        p = plan(left_lookup(fact, large, "k"))
+        assert "BroadcastHashJoin" not in p and "SinglePartition" not in p
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_dedup_of_a_hot_key_is_partially_aggregated(spark):
-    from pyspark.sql import functions as F
-
-    # one key holds most rows: the plan aggregates map-side before the shuffle
-    df = spark.range(0, 30000).select(F.when(F.col("id") % 3 > 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
-                                      F.col("id").alias("t"))
-    d = df.groupBy("k").agg(F.min_by("t", "t").alias("t"))
-    p = plan(d)
-    assert "partial_min_by" in p
-    assert d.filter("k = 0").first().t == 0
+def test_latest_per_key_does_not_sort(spark):
+    for name in ("as_of_version", "as_of_timestamp", "dedup_events"):
+        assert "SortAggregate" not in plan(QUERIES[name].fn(spark, SF_SMALL)), name
