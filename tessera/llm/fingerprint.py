@@ -132,14 +132,17 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """One row for each input row: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("bucket", F.shiftright("doc_id", BUCKET_BITS))
-    low, high = rows.agg(F.min("bucket"), F.max("bucket")).first()
+    # never null, so that no filter on it goes below one of the two uses of the
+    # exchange; rows without an id are spread over buckets that no id has
+    rows = rows.withColumn("bucket", F.coalesce(F.shiftright("doc_id", BUCKET_BITS), F.xxhash64("text").bitwiseAND(F.lit((1 << 20) - 1)) + F.lit(1 << 62)))
+    known = rows.where("doc_id IS NOT NULL")
+    low, high = known.agg(F.min("bucket"), F.max("bucket")).first()
     placed = rows.repartition(partitions(docs.sparkSession), "bucket")
     window = Window.partitionBy("bucket").orderBy("doc_id", "text")
     # the last row of each bucket goes to the bucket above; that of the highest to the lowest
-    last = (placed.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("doc_id"), F.desc("text")))).where("n = 1 AND bucket IS NOT NULL")
+    last = (placed.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("doc_id"), F.desc("text")))).where("n = 1")
             .select(F.col("bucket").alias("before"), F.col("text").alias("text_below")))
-    order = previous_key(rows.select(F.col("bucket").alias("key")).where("key IS NOT NULL").distinct(), low or 0, high or 0)
+    order = previous_key(known.select(F.col("bucket").alias("key")).distinct(), low or 0, high or 0)
     below = order.select(F.col("key").alias("bucket"), F.coalesce("before", F.lit(high).cast("long")).alias("before")).join(last, "before").select("bucket", "text_below")
     joined = placed.withColumn("near", F.lag("text").over(window)).join(below, "bucket", "left")
     joined = joined.withColumn("next", F.when(F.col("doc_id").isNull(), F.lit("")).otherwise(F.coalesce("near", "text_below"))).withColumn("n_chars", F.length("text").cast("long"))
