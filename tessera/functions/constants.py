@@ -52,3 +52,34 @@ MOMENTUM_RATE = {"growing": 1.005, "stable": 1.0, "declining": 0.997}
 PING_INTERVAL_SEC = 60
 KM_PER_DEGREE = 111
 VEHICLE_TYPES = ["car", "bike", "scooter"]
+
+# --- fixed values: names and columns of the pipeline's datasets ------------
+CREATED, PING = "order_created", "driver_ping"
+SILVER_COLUMNS = [
+    "event_id", "event_type", "event_timestamp", "ts", "ts_seconds", "order_id", "location_id", "sequence", "body",
+    "brand_id", "order_total", "latitude", "longitude", "driver_id",
+    "event_hour", "event_day_of_week", "is_weekend", "event_date", "city_name",
+]
+STAGE_TIMES = {
+    "order_created": "created_at",
+    "kitchen_started": "kitchen_started_at",
+    "kitchen_finished": "kitchen_finished_at",
+    "order_ready": "order_ready_at",
+    "driver_arrived": "driver_arrived_at",
+    "driver_picked_up": "pickup_at",
+    "delivered": "delivered_at",
+}
+STAGE_DURATIONS = {
+    "kitchen_duration_min": ("kitchen_started_at", "kitchen_finished_at"),
+    "delivery_duration_min": ("pickup_at", "delivered_at"),
+    "total_duration_min": ("created_at", "delivered_at"),
+}
+PERFORMANCE_MEANS = {
+    "avg_kitchen_time_min": "kitchen_duration_min",
+    "avg_delivery_time_min": "delivery_duration_min",
+    "avg_total_time_min": "total_duration_min",
+}
+BRAND_COLUMNS = [
+    "brand_id", "brand_name", "total_orders", "total_revenue", "avg_order_value",
+    "locations_served", "first_order_date", "last_order_date",
+]

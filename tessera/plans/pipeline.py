@@ -16,15 +16,16 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from tessera.plans import medallion
+from tessera.plans import domain, medallion
 from tessera.session import work_path
 from tessera.sources.tables import table_path
 
 #: The tables all layers derive from.
 INPUTS = ("orders", "customer", "lineitem", "part", "nation")
 
-_WRITTEN: dict[tuple, str] = {}
+_WRITTEN: dict[tuple, tuple[str, StructType]] = {}
 
 
 def input_state(spark: SparkSession, sf_dir: str) -> str:
@@ -40,14 +41,16 @@ def input_state(spark: SparkSession, sf_dir: str) -> str:
     return " ".join(sorted(found))
 
 
-def layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], by: str | None = None) -> DataFrame:
+    """A table written on first use; ``by``: the column it is partitioned by."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_state(spark, sf_dir), name)
-    path = _WRITTEN.get(key)
-    if path is None:
-        path = work_path(spark, f"layer_{name}")
-        build().write.mode("error").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(path)
+    found = _WRITTEN.get(key)
+    if found is None:
+        path, df = work_path(spark, f"layer_{name}"), build()
+        writer = df.write.mode("error")
+        (writer.partitionBy(by) if by else writer).parquet(path)
+        found = _WRITTEN[key] = (path, df.schema)
+    return spark.read.schema(found[1]).parquet(found[0]).select(*found[1].names)
 
 
 def reset() -> None:
@@ -65,38 +68,40 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """silver.orders_enriched, built from the bronze table."""
-    return layer(spark, sf_dir, "orders_enriched",
-                 lambda: medallion.orders_enriched(spark, sf_dir, bronze=bronze_orders(spark, sf_dir)))
+    """silver.orders_enriched, stored by event type."""
+    return layer(spark, sf_dir, "orders_enriched", lambda: medallion.silver(bronze_orders(spark, sf_dir), domain.locations(spark, sf_dir)), "event_type")
 
 
 def silver_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """silver.order_lifecycle, built from the silver orders table."""
-    return layer(spark, sf_dir, "order_lifecycle",
-                 lambda: medallion.order_lifecycle(spark, sf_dir, enriched=silver_orders(spark, sf_dir)))
+    """silver.order_lifecycle, from the stage partitions of silver.orders_enriched."""
+    return layer(spark, sf_dir, "order_lifecycle", lambda: medallion.lifecycle(silver_orders(spark, sf_dir)))
+
+
+def order_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gold.order_cube, from the created orders of silver.orders_enriched."""
+    return layer(spark, sf_dir, "order_cube", lambda: medallion.order_cube(silver_orders(spark, sf_dir)))
 
 
 def gold_delivery_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layer(spark, sf_dir, "delivery_performance",
-                 lambda: medallion.delivery_performance(spark, sf_dir, lifecycle=silver_lifecycle(spark, sf_dir)))
+    return layer(spark, sf_dir, "delivery_performance", lambda: medallion.delivery_performance(silver_lifecycle(spark, sf_dir)))
 
 
 def dirty_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """bronze.orders with NULLs injected (input of the quality report): a
-    projection over the bronze table. Injection touches location_id,
-    order_id and body only; event_timestamp comes from the untouched ts."""
+    projection over the bronze table. Injection touches location_id, order_id and
+    body only; event_timestamp comes from the untouched ts."""
     from tessera.operators import generate
 
     return generate.inject_nulls(bronze_orders(spark, sf_dir))
 
 
 def dirty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layer(spark, sf_dir, "dirty_silver",
-                 lambda: medallion.orders_enriched(spark, sf_dir, bronze=dirty_bronze(spark, sf_dir)))
+    return layer(spark, sf_dir, "dirty_silver", lambda: medallion.silver(dirty_bronze(spark, sf_dir), domain.locations(spark, sf_dir)), "event_type")
 
 
 def build_all(spark: SparkSession, sf_dir: str) -> None:
     """Run the pipeline: bronze -> silver (orders, lifecycle) -> gold tables,
-    plus the NULL-injected bronze/silver the quality report reads."""
+    plus the NULL-injected silver the quality report reads."""
     gold_delivery_performance(spark, sf_dir)
+    order_cube(spark, sf_dir)
     dirty_silver(spark, sf_dir)

@@ -42,7 +42,7 @@ def test_null_location_forms_its_own_lifecycle_group(spark):
             ("e3", "order_created", t0, "B", 1, "C1")]
     df = spark.createDataFrame(rows, "event_id string, event_type string, event_timestamp timestamp_ntz, "
                                      "order_id string, location_id int, city_name string")
-    lc = medallion.order_lifecycle(spark, "", enriched=df).collect()
+    lc = medallion.lifecycle(df).collect()
     # order A splits: its delivered event (NULL location) is its own group;
     # the group with created_at has no delivered_at and is filtered out
     assert len(lc) == 1 and lc[0].order_id == "A" and lc[0].location_id is None and lc[0].created_at is None

@@ -50,3 +50,13 @@ def test_lookup_broadcasts_by_bytes(spark):
 def test_latest_per_key_does_not_sort(spark):
     for name in ("as_of_version", "as_of_timestamp", "dedup_events"):
         assert "SortAggregate" not in plan(QUERIES[name].fn(spark, SF_SMALL)), name
+
+
+def test_gold_reads_prune_silver_partitions(spark):
+    from tessera.plans import medallion, pipeline
+
+    silver = pipeline.silver_orders(spark, SF_SMALL)
+    for df in (medallion.order_cube(silver), medallion.lifecycle(silver)):
+        p = plan(df)
+        assert "PartitionFilters: [isnotnull(event_type" in p or "PartitionFilters: [event_type" in p, p
+    assert "body" not in plan(medallion.order_cube(silver)).split("ReadSchema")[1].split("\n")[0]
