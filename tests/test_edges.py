@@ -21,10 +21,10 @@ def test_malformed_json_keeps_row_and_nulls_fields(spark):
     for r in out[1:5]:
         assert r.brand_id is None and r.total is None
     assert out[5].brand_id is None and out[5].total == 1.0  # one bad field only
-    q = quality.quarantine(df, "body", BODY_SCHEMA)
-    flags = [r.quarantined for r in q.collect()]
-    # a badly typed field also marks the record corrupt (other fields still parse)
-    assert flags == [False, True, True, True, True, True]
+    good, bad = quality.split_json(df, "body")
+    assert [r.body for r in good.collect()] == [bodies[0], bodies[5]] and bad.count() == 4
+    wrong = quality.type_errors(df, "body", BODY_SCHEMA).collect()
+    assert [(r.body, r.wrong_fields) for r in wrong] == [(bodies[5], ["brand_id"])]
 
 
 def test_timestamps_with_and_without_fraction(spark):
