@@ -22,6 +22,13 @@ def parse_iso_ts(s: Column | str) -> Column:
     return _c(s).try_cast("timestamp")
 
 
+def parse_two_layouts(s: Column | str) -> Column:
+    """F2: ISO text by explicit pattern, with microseconds or else without; NULL
+    if neither fits."""
+    layouts = ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss")
+    return F.coalesce(*[F.try_to_timestamp(_c(s), F.lit(p)) for p in layouts])
+
+
 def time_features(ts: Column | str) -> dict[str, Column]:
     """Hour, weekday (1=Sunday..7=Saturday), weekend flag, date."""
     t = _c(ts)
