@@ -100,7 +100,7 @@ class Model:
 
 def _matrix(rows: list[np.ndarray], features: np.ndarray) -> np.ndarray:
     out = np.zeros((len(rows), len(features)), np.float32)
-    for i, r in enumerate(rows):
+    for i, r in enumerate(rows if len(features) else ()):
         at = np.searchsorted(features, r)
         at[at == len(features)] = 0
         out[i, at[features[at] == r]] = 1
