@@ -22,7 +22,6 @@ counts as an item and is left out of the list of ids. Other columns are kept.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 

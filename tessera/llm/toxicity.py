@@ -36,7 +36,7 @@ TOXIC_ROWS = 3000
 CLEAN_ROWS = 6000
 FEATURES = 2000
 #: Least likelihood ratio (2 log) of a selected feature, and rows it must be in.
-LEAST_RATIO, LEAST_ROWS = 22.0, 5
+LEAST_RATIO, LEAST_ROWS = 16.0, 4
 THRESHOLD = 0.3
 PREFIXES = (4, 5, 6)
 #: Weight of the squared difference between a score and its counterfactual's.
