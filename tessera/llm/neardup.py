@@ -40,6 +40,8 @@ BANDS = 32
 _ROWS = SIGNATURE // BANDS
 #: Members of a bucket, or of a star, that one group of a task holds.
 GROUP = 256
+#: Ways in which the members of a hub are spread for the look-up of its groups.
+SALTS = 32
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -225,8 +227,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     pairs = materialize(pairs, "pairs")
     degree = pairs.groupBy(F.col("u").alias("hub")).agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
     hubs = degree.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"), F.col("hub").alias("node"))
-    members = (pairs.select(F.col("u").alias("hub"), F.col("v").alias("node")).join(degree, "hub")
-               .select("hub", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("member"), "node"))
+    # only hubs of several groups are looked up, by hub and salt, so that a hot hub's members are spread
+    many = degree.where("parts > 1").select("hub", "parts", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    members = (pairs.select(F.col("u").alias("hub"), F.col("v").alias("node"), F.pmod(F.xxhash64("v", "u"), F.lit(SALTS)).cast("int").alias("salt"))
+               .join(many, ["hub", "salt"], "left")
+               .select("hub", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"), F.lit(True).alias("member"), "node"))
     return (hubs.unionByName(members).join(texts, "node").select("hub", "part", "member", "node", "text")
             .repartition(partitions(pairs.sparkSession), "hub", "part").sortWithinPartitions("hub", "part", "member")
             .mapInArrow(_confirm(width), "u binary, v binary"))
