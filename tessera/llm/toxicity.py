@@ -98,13 +98,23 @@ class Model:
     intercept: float
 
 
-def _matrix(rows: list[np.ndarray], features: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(rows), len(features)), np.float32)
-    for i, r in enumerate(rows if len(features) else ()):
-        at = np.searchsorted(features, r)
+class _Rows:
+    """Which selected features each row has, as pairs."""
+
+    def __init__(self, rows: list[np.ndarray], features: np.ndarray):
+        every = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
+        at = np.searchsorted(features, every)
         at[at == len(features)] = 0
-        out[i, at[features[at] == r]] = 1
-    return out
+        hit = np.flatnonzero(features[at] == every) if len(features) else np.zeros(0, np.int64)
+        self.column, self.row = at[hit], np.repeat(np.arange(len(rows)), [len(r) for r in rows])[hit]
+        self.n, self.width = len(rows), len(features)
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(np.bincount(self.row, w[self.column], self.n) + w[-1])))
+
+    def gradient(self, slope: np.ndarray) -> np.ndarray:
+        """Of the weights and the intercept, from the slope at each row."""
+        return np.append(np.bincount(self.column, slope[self.row], self.width), slope.sum())
 
 
 def _select(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
@@ -129,20 +139,19 @@ def fit_rows(rows: list[np.ndarray], toxic: np.ndarray, twins: list[tuple[int, n
     """Logistic regression with ridge and counterfactual penalty, by Adam steps.
     ``twins``: (row, features of its counterfactual); ``share``: of toxic rows."""
     features = _select(rows, toxic)
-    x = _matrix(rows, features)
-    y = toxic.astype(np.float32)
+    own, swapped = _Rows(rows, features), _Rows([t for _, t in twins], features)
     pair = np.array([i for i, _ in twins], np.int64)
-    swapped = _matrix([t for _, t in twins], features)
-    w, m, v = (np.zeros(len(features) + 1, np.float64) for _ in range(3))
+    w, m, v = (np.zeros(len(features) + 1) for _ in range(3))
     for step in range(1, STEPS + 1):
-        p = 1 / (1 + np.exp(-(x @ w[:-1].astype(np.float32) + w[-1])))
-        error = (p - y) / len(y)
-        g = np.append(x.T @ error, error.sum())
+        p = own.scores(w)
+        slope = (p - toxic) / own.n
+        g = np.zeros(len(w))
         if len(pair):
-            q = 1 / (1 + np.exp(-(swapped @ w[:-1].astype(np.float32) + w[-1])))
+            q = swapped.scores(w)
             gap = 2 * COUNTERFACTUAL * (p[pair] - q) / len(pair)
-            dp, dq = gap * p[pair] * (1 - p[pair]), -gap * q * (1 - q)
-            g += np.append(x[pair].T @ dp + swapped.T @ dq, dp.sum() + dq.sum())
+            np.add.at(slope, pair, gap * p[pair] * (1 - p[pair]))
+            g += swapped.gradient(-gap * q * (1 - q))
+        g += own.gradient(slope)
         g[:-1] += RIDGE * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
