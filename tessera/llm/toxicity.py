@@ -117,6 +117,16 @@ class _Rows:
         return np.append(np.bincount(self.column, slope[self.row], self.width), slope.sum())
 
 
+def _frequent(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """The rows without most features of fewer than LEAST_ROWS rows, which cannot be
+    selected: counted in a table of fixed size, in which a few share a place."""
+    places = np.uint64((1 << 24) - 1)
+    table = np.zeros(1 << 24, np.uint16)
+    for r in rows:
+        np.add.at(table, (r & places).astype(np.int64), 1)
+    return [r[table[(r & places).astype(np.int64)] >= LEAST_ROWS] for r in rows]
+
+
 def _select(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     """Features whose presence goes with the label, the strongest by likelihood ratio."""
     every, number = np.unique(np.concatenate(rows), return_inverse=True)
@@ -174,8 +184,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     toxic = np.array([r["toxic"] for r in sample], np.int64)
     if not 0 < toxic.sum() < len(toxic):
         return None
-    features = [np.frombuffer(r["features"], np.uint64) for r in sample]
     twins = [(i, np.frombuffer(r["twin"], np.uint64)) for i, r in enumerate(sample) if r["twin"]]
+    features = _frequent([np.frombuffer(r["features"], np.uint64) for r in sample])
+    del sample
     return fit_rows(features, toxic, twins, totals[1] / (totals[0] + totals[1]))
 
 
