@@ -7,7 +7,9 @@ bin the ``CHOSEN`` least are selected, put back in text order and hashed as a
 tuple. Two texts share a component if the selected k-mers agree *in order*,
 which follows their edit distance and not only their overlap. One hash for
 each k-mer instead of one for each k-mer and component is the one-permutation form
-of MinHash; an empty bin (short texts) takes the next bin's tuple.
+of MinHash. A bin with fewer k-mers (short texts) takes those it lacks from all
+others, the least by a second hash with the bin's number: each component has a
+full order of its own, so that a tuple has ``CHOSEN`` k-mers if the text has them.
 
 Everything is column expressions. The next document is found without a global
 sort: ids fall into buckets of ``2**BUCKET_BITS`` neighbours, a window looks back
@@ -67,30 +69,33 @@ def _bin(x: Column) -> Column:
     return F.shiftrightunsigned(x, 64 - BINS_LOG2).cast("int")
 
 
-def _tuple_hash(values: Column, start: Column) -> Column:
-    """Hash of a bin's least values in text order."""
-    least = F.filter(F.slice(values, start + 1, F.lit(CHOSEN)), lambda x: _bin(x) == _bin(F.get(values, start)))
+def _tuple_hash(least: Column) -> Column:
+    """Hash of the chosen values in text order."""
     in_order = F.sort_array(F.transform(least, lambda x: F.shiftleft(x.bitwiseAND(F.lit(_MASK)), _REST).bitwiseOR(F.shiftrightunsigned(x, 64 - _REST))))
     return F.xxhash64(F.transform(in_order, lambda x: x.bitwiseAND(F.lit((1 << _REST) - 1)))).bitwiseAND(F.lit(0xFFFFFF)).cast("int")
 
 
 def _components(values: Column) -> Column:
-    def fill(starts: Column) -> Column:
-        def dense(bins: Column) -> Column:
-            hashes = F.transform(starts, lambda r: _tuple_hash(values, r))
+    def borrowed(b: Column, start: Column, end: Column) -> Column:
+        """The bin's values and, up to CHOSEN in all, the least others by a hash of the value and the bin."""
+        others = F.concat(F.slice(values, F.lit(1), start), F.slice(values, end + 1, F.size(values)))
+        mixed = F.transform(others, lambda x: F.xxhash64(x.bitwiseAND(F.lit(~_MASK)), b).bitwiseAND(F.lit(~_MASK)).bitwiseOR(x.bitwiseAND(F.lit(_MASK))))
+        return F.concat(F.slice(values, start + 1, end - start), F.slice(F.sort_array(mixed), F.lit(1), CHOSEN - (end - start)))
 
-            def spread(h: Column) -> Column:
-                def of(b: Column) -> Column:
-                    # the bin itself or the next one that is not empty, going round
-                    distance = F.transform(bins, lambda x: F.pmod(x - b, F.lit(BINS)))
-                    return F.get(h, (F.array_position(distance, F.array_min(distance)) - 1).cast("int"))
+    def fill(starts: Column) -> Column:
+        def of(bins: Column) -> Column:
+            def component(b: Column) -> Column:
+                def chosen(at: Column) -> Column:
+                    # an empty bin is a run of no values at the start
+                    start = F.when(at > 0, F.get(starts, at - 1)).otherwise(F.lit(0))
+                    end = F.when(at > 0, F.coalesce(F.get(starts, at), F.size(values))).otherwise(F.lit(0))
+                    return _tuple_hash(F.when(end - start >= CHOSEN, F.slice(values, start + 1, F.lit(CHOSEN))).otherwise(borrowed(b, start, end)))
 
-                # bins 32.. come first in the order of signed values
-                return F.when(F.size(bins) == BINS, h).otherwise(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: of(F.pmod(b + BINS // 2, F.lit(BINS)))))
+                return _let(F.array_position(bins, b).cast("int"), chosen)
 
-            return _let(hashes, spread)
+            return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), component)
 
-        return _let(F.transform(starts, lambda r: _bin(F.get(values, r))), dense)
+        return _let(F.transform(starts, lambda r: _bin(F.get(values, r))), of)
 
     return _let(_run_starts(F.size(values), lambda j: _bin(F.get(values, j))), fill)
 

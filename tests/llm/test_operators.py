@@ -62,6 +62,20 @@ def test_fingerprint_order_and_repeats_matter(spark):
     assert near[0] < 0.1 < near[1] < near[2] and near[2] > 0.8 and near[3] < 1
 
 
+@pytest.mark.parametrize("n", [12, 20, 40, 80, 200])
+def test_fingerprint_order_matters_in_short_texts(spark, n):
+    """Halves swapped: a component agrees if its two k-mers are of one half, out of n in both texts."""
+    rows = []
+    for k in range(60):
+        words = [f"t{k}w{i}" for i in range(n)]
+        rows.append((" ".join(words), " ".join(words[n // 2:] + words[:n // 2])))
+    df = spark.createDataFrame(rows, "a string, b string")
+    near = [r[0] for r in df.select(fingerprint.likeness(fingerprint.components(F.col("a")), fingerprint.components(F.col("b")))).collect()]
+    half = n // 2 - 2
+    assert abs(np.mean(near) - 2 * half * (half - 1) / (n * (n - 1))) < 0.04
+    assert np.std(near) < 0.12  # 64 components of their own give at most 0.07
+
+
 def test_fingerprints_of_nothing(spark):
     assert fingerprint.fingerprints(empty_documents(spark)).collect() == []
 
