@@ -20,8 +20,9 @@ probability 5e-8.
 
 Defined results: null or empty text, or text without words -> empty set,
 linked with nothing, its own component. Fewer words than ``width`` -> the whole
-sequence is the one shingle. Rows that repeat a doc_id share its component. A
-null doc_id takes part; a component of such rows only has a null id.
+sequence is the one shingle. Rows that repeat a doc_id have the component of
+their own text each; ``kept`` compares ids only. A null doc_id takes part; a
+component of such rows only has a null id.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from tessera.llm.blocks import LOWER, gather_ranges, materialize, mix, partitions, ship, slice_hashes, text_blocks, word_spans
 from tessera.llm.components import components
@@ -237,15 +239,21 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
             .mapInArrow(_confirm(width), "u binary, v binary"))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each input row: doc_id, n_shingles, component_id, kept."""
+def _uid(doc_id: str, text: str) -> Column:
+    return F.xxhash64(F.col(doc_id), F.col(text))
+
+
+def _grouped(docs: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
+    """One row for each input row: doc_id, uid, n_shingles, node, component_id, and
+    the least (doc_id, uid) of the component's rows with an id."""
     ship(docs.sparkSession)
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("uid"), F.col(text).alias("text"))
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _uid(doc_id, text).alias("uid"), F.col(text).alias("text"))
     kind = "doc_id long, uid long, n_shingles long, node binary, bands array<long>"
     sketches = materialize(source.mapInArrow(_sketch(width), kind), "sketches")
     members = sketches.select("doc_id", "uid", "n_shingles", "node")
     # one document stands for all that have its set
-    chosen = members.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("uid").alias("uid"))
+    chosen = members.where("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("least"), F.min("uid").alias("uid"), F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "uid"))).alias("first"))
     nodes = sketches.where("node IS NOT NULL").select("node", "bands").dropDuplicates(["node"])
 
     banded = nodes.select("node", F.explode("bands").alias("band"))
@@ -264,15 +272,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, doc_id: str = "doc_id", tex
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
-    labelled = chosen.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = labelled.join(ids, "root").select("node", "component_id")
-    return (members.join(by_node, "node", "left")
+    labelled = chosen.join(found, "node", "left").select("node", "least", "first", F.coalesce("root", "node").alias("root"))
+    ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("first"))
+    by_node = labelled.drop("first").join(ids, "root").select("node", "component_id", "first")
+    return members.join(by_node, "node", "left")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each input row: doc_id, n_shingles, component_id, kept."""
+    return (_grouped(docs, width, doc_id, text)
             .select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())))
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The input rows of one document of each component; rows without a doc_id stay."""
-    gone = near_duplicates(docs, width, doc_id, text).where("NOT kept").select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("_gone_id"), "left_anti")
+    """Of each component the one input row with the least doc_id (then the least
+    hash of id and text, then of the other columns). Rows without a doc_id and
+    rows without words stay."""
+    rows = _grouped(docs, width, doc_id, text).where("node IS NOT NULL AND doc_id IS NOT NULL")
+    gone = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("uid") != F.col("first.uid"))
+    marked = rows.groupBy(F.col("doc_id").alias("_near_id"), F.col("uid").alias("_near_uid"), gone.alias("_near_gone")).agg(F.count("*").alias("n"))
+    marked = materialize(marked.where("_near_gone OR n > 1").drop("n"), "marked")
+    own = (F.col(doc_id).cast("long") == F.col("_near_id")) & (_uid(doc_id, text) == F.col("_near_uid"))
+    single = docs.join(marked, own, "left_anti")
+    repeated = marked.where("NOT _near_gone")
+    if repeated.isEmpty():
+        return single
+    others = F.to_json(F.struct(doc_id, *[F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]))
+    number = F.row_number().over(Window.partitionBy(F.col(doc_id), _uid(doc_id, text)).orderBy(F.xxhash64(others)))
+    return single.unionByName(docs.join(repeated, own, "left_semi").withColumn("_near_n", number).where("_near_n = 1").drop("_near_n"))

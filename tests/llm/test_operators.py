@@ -123,6 +123,18 @@ def test_near_duplicates_of_nothing_and_null_ids(spark):
     assert neardup.without_near_duplicates(docs, 2).count() == 3
 
 
+def test_one_row_of_each_group_stays_with_reused_ids(spark):
+    """Rows with one id are told apart: copies go, a clean row with a copy's id stays."""
+    text = {c: " ".join(f"{c}{i}" for i in range(40)) for c in "abcd"}
+    rows = [(1, text["a"], "x"), (2, text["a"] + " more", "x"), (2, text["b"], "x"), (5, text["c"], "x"), (5, text["c"], "y"), (5, text["c"], "y"),
+            (7, text["d"], "x"), (7, text["d"] + " more", "x"), (8, "", "x"), (8, "", "x"), (9, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = neardup.without_near_duplicates(docs, 2)
+    assert out.schema == docs.schema
+    got = sorted(((r.doc_id, (r.text or "")[:1]) for r in out.collect()))
+    assert got == [(1, "a"), (2, "b"), (5, "c"), (7, "d"), (8, ""), (8, ""), (9, "")]
+
+
 def test_super_minhash_estimates_similarity():
     rnd = np.random.default_rng(5)
     errors = []
