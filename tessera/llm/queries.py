@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tessera.llm import bpe, chat, decontam, fingerprint, langid, neardup, sharding, suffixdedup, toxicity, urlfilter
+from tessera.llm import bpe, chat, decontam, fingerprint, langid, neardup, quality, sharding, suffixdedup, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,4 +79,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+@_query("op13_quality_rules", quality.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 _query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
