@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tessera.llm import bpe, chat, decontam, fingerprint, langid, neardup, quality, resample, sharding, suffixdedup, toxicity, urlfilter
+from tessera.llm import bpe, chat, decontam, fingerprint, langid, neardup, phrases, quality, resample, sharding, suffixdedup, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,6 +79,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+@_query("op11_phrase_collocations", phrases.ORACLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 @_query("op12_importance_resample")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
