@@ -115,7 +115,7 @@ def powers(base: int, n: int) -> np.ndarray:
         out = np.full(max(n, BLOCK_BYTES) + 1, np.uint64(base), np.uint64)
         out[0] = 1
         out = np.cumprod(out, dtype=np.uint64)
-        if n <= 4 * BLOCK_BYTES:
+        if n <= 2 * BLOCK_BYTES + (1 << 20):
             _POWERS[base] = out
     return out[:n + 1]
 

@@ -8,7 +8,7 @@ functions are composed inside fixed-width columns of the array (vectorised over
 the columns), the column functions are scanned in turn, and the columns are
 replayed from their true first state. Where the transducer starts a token, a
 slice starts. Slices are grouped by hash; each distinct one is merged once by
-rank and kept in a bounded cache. Byte offsets of the tokens are kept.
+rank and kept in a cache of bounded bytes that ends with the task. Byte offsets of the tokens are kept.
 
 Every encoded text is decoded again and compared with its bytes; were two
 slices of a block ever to share a hash, the text is encoded slice by slice.
@@ -32,8 +32,11 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from tessera.llm.blocks import ship, slice_hashes, text_blocks
 
-#: Distinct slices a worker keeps merged; beyond it the cache starts anew.
-CACHE = 300_000
+#: Bytes of merged slices a task keeps: half for those used since the last turn,
+#: half for those of the turn before.
+CACHE = 32 << 20
+#: Bytes a slice takes beside its own, its ids' and its decimals' (objects, table).
+_ENTRY = 400
 #: White space as the pattern's \\s has it (fixed values).
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Contractions the pattern splits off (fixed values): letters after the apostrophe.
@@ -166,7 +169,13 @@ class Codec:
     def __init__(self, rank_file: bytes):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.release()
+
+    def release(self) -> None:
+        """Forget the merged slices; the vocabulary stays."""
         self.cache: dict[bytes, tuple[tuple[int, ...], bytes, bytes]] = {}
+        self.before: dict[bytes, tuple[tuple[int, ...], bytes, bytes]] = {}
+        self.held = 0
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of a slice: the pair of least rank is merged first, the leftmost of equals."""
@@ -198,10 +207,17 @@ class Codec:
         """Ids, ids as decimals each with a comma, and the ids decoded."""
         found = self.cache.get(word)
         if found is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            ids = self.merge(word)
-            found = self.cache[word] = (ids, b"".join([b"%d," % i for i in ids]), self.decode(ids))
+            found = self.before.get(word)
+            if found is None:
+                ids = self.merge(word)
+                found = (ids, b"".join([b"%d," % i for i in ids]), self.decode(ids))
+            size = _ENTRY + 8 * len(found[0]) + len(found[1]) + 2 * len(word)
+            if size > CACHE // 8:
+                return found
+            if self.held + size > CACHE // 2:
+                self.before, self.cache, self.held = self.cache, {}, 0
+            self.cache[word] = found
+            self.held += size
         return found
 
     def decode(self, ids) -> bytes:
@@ -248,9 +264,12 @@ def default_ranks() -> str:
 def _each_block(rank_file: bytes, text: str, finish: Callable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = codec(rank_file)
-        for batch in batches:
-            for block in text_blocks(batch.column(text)):
-                yield finish(batch.slice(block.first, block.n), list(known.encode_block(block)))
+        try:
+            for batch in batches:
+                for block in text_blocks(batch.column(text)):
+                    yield finish(batch.slice(block.first, block.n), list(known.encode_block(block)))
+        finally:
+            known.release()
 
     return run
 

@@ -40,8 +40,9 @@ from tessera.llm.components import components
 SIGNATURE = 128
 BANDS = 32
 _ROWS = SIGNATURE // BANDS
-#: Members of a bucket, or of a star, that one group of a task holds.
-GROUP = 256
+#: Members of a bucket, or of a star, that one group of a task holds, and the
+#: shingles of a block of them on average.
+GROUP, GROUP_SHINGLES = 256, 1 << 18
 #: Ways in which the members of a hub are spread for the look-up of its groups.
 SALTS = 32
 
@@ -88,7 +89,7 @@ def super_minhash(elements: np.ndarray, size: int = SIGNATURE) -> np.ndarray:
 
 
 def _set_key(elements: np.ndarray) -> bytes:
-    return np.array([len(elements), np.bitwise_xor.reduce(mix(elements)), np.add.reduce(mix(elements ^ np.uint64(0x5DEECE66D)))], np.uint64).tobytes()[4:]
+    return np.array([len(elements), np.bitwise_xor.reduce(mix(elements)), np.add.reduce(mix(elements ^ np.uint64(0x5DEECE66D)))], np.uint64).tobytes()
 
 
 def _sketch(width: int):
@@ -171,20 +172,21 @@ def _across(labelled: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     cut into blocks, and so are the other members that meet it in any bucket; each
     block meets each of the other kind in one cell, whatever the number
     of buckets they share. The others of a bucket meet one another in cells of
-    two blocks. Cells have at most about two GROUPs of rows."""
+    two blocks. A block has at most about GROUP rows and GROUP_SHINGLES shingles (a
+    larger set is alone with few), a cell two blocks."""
     sizes = labelled.groupBy("band", "root").agg(F.count("*").alias("k"))
     open_ = sizes.groupBy("band").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("band", "main")
     rows = materialize(labelled.join(open_, "band"), "open")
 
-    sides = rows.groupBy("main", "node", "root").agg(F.lit(1).alias("one")).withColumn("side", F.when(F.col("root") == F.col("main"), 0).otherwise(1)).drop("one")
-    counts = sides.groupBy("main").agg(_ceil_group(F.count(F.when(F.col("side") == 0, 1))).alias("n0"), _ceil_group(F.count(F.when(F.col("side") == 1, 1))).alias("n1"))
+    sides = rows.groupBy("main", "node", "root").agg(F.first("n_shingles").alias("n_shingles")).withColumn("side", F.when(F.col("root") == F.col("main"), 0).otherwise(1))
+    counts = sides.groupBy("main").agg(_blocks(F.col("side") == 0).alias("n0"), _blocks(F.col("side") == 1).alias("n1"))
     dealt = sides.join(counts, "main").withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("n0")).otherwise(F.col("n1"))).cast("int"))
     dealt = dealt.withColumn("facing", F.when(F.col("side") == 0, F.col("n1")).otherwise(F.col("n0")))
     facing = (dealt.select("main", "node", "root", "side", "own", _count_to("facing").alias("j"))
               .select(F.col("main").alias("key"), F.when(F.col("side") == 0, F.struct(F.col("own").alias("a"), F.col("j").alias("b"))).otherwise(F.struct(F.col("j").alias("a"), F.col("own").alias("b"))).alias("cell"), "node", "root", "side"))
 
     rest = rows.where("root != main")
-    others = rest.groupBy("band").agg(_ceil_group(F.count("*")).alias("n"), F.count("*").alias("m")).where("m > 1").select("band", "n")
+    others = rest.groupBy("band").agg(_blocks(F.lit(True)).alias("n"), F.count("*").alias("m")).where("m > 1").select("band", "n")
     spread = rest.join(others, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
     among = (spread.select("band", "node", "root", "own", _count_to("n").alias("j"))
              .select(F.encode(F.concat(F.lit("band "), F.col("band").cast("string")), "utf-8").alias("key"), F.struct(F.least("own", "j").alias("a"), F.greatest("own", "j").alias("b")).alias("cell"),
@@ -194,8 +196,10 @@ def _across(labelled: DataFrame, texts: DataFrame, width: int) -> DataFrame:
             .select("key", "cell", "node", "root", "side", "text").mapInArrow(_cell_links(width), "u binary, v binary"))
 
 
-def _ceil_group(count):
-    return F.greatest(F.ceil(count / GROUP), F.lit(1)).cast("int")
+def _blocks(where: Column) -> Column:
+    """Number of blocks for the rows of a group that fit the condition."""
+    count, shingles = F.count(F.when(where, 1)), F.sum(F.when(where, F.col("n_shingles")))
+    return F.greatest(F.ceil(count / GROUP), F.ceil(F.coalesce(shingles, F.lit(0)) / GROUP_SHINGLES), F.lit(1)).cast("int")
 
 
 def _confirm(width: int):
@@ -254,9 +258,9 @@ def _grouped(docs: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
     # one document stands for all that have its set
     chosen = members.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.min("uid").alias("uid"), F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "uid"))).alias("first"))
-    nodes = sketches.where("node IS NOT NULL").select("node", "bands").dropDuplicates(["node"])
+    nodes = sketches.where("node IS NOT NULL").select("node", "n_shingles", "bands").dropDuplicates(["node"])
 
-    banded = nodes.select("node", F.explode("bands").alias("band"))
+    banded = nodes.select("node", "n_shingles", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("band", "hub")
     bucketed = materialize(banded.join(buckets, "band"), "bucketed")
     star = bucketed.where("node != hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
@@ -267,7 +271,7 @@ def _grouped(docs: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
     links = materialize(_confirmed(star, texts, width), "links")
     found = components(links)
 
-    labelled = bucketed.join(found, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    labelled = bucketed.join(found, "node", "left").select("band", "node", "n_shingles", F.coalesce("root", "node").alias("root"))
     more = materialize(_across(labelled, texts, width), "more")
     if not more.isEmpty():
         found = components(links.unionByName(more))

@@ -9,7 +9,8 @@ list; the squared difference of the two scores is a penalty, so that a neutral
 mention of a group does not raise a score.
 
 The sample is bounded by ``TOXIC_ROWS`` and ``CLEAN_ROWS`` (the least by hash of
-the id); only it reaches the driver, as hashes. All texts are scored whole, with
+the id, one text for each id). Features are counted and selected on Spark; of the
+sample only the numbers of the selected ones reach the driver. All texts are scored whole, with
 the model sent to the tasks (at most ``FEATURES`` weights). The intercept is set
 for the share of toxic rows among all labelled rows.
 
@@ -29,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.blocks import LOWER, ship, slice_hashes, text_blocks, word_spans
+from tessera.llm.blocks import LOWER, materialize, ship, slice_hashes, text_blocks, word_spans
 from tessera.llm.langid import held_out
 
 TOXIC_ROWS = 3000
@@ -43,7 +44,7 @@ PREFIXES = (4, 5, 6)
 COUNTERFACTUAL = 5.0
 RIDGE = 1e-4
 STEPS = 400
-#: Identity terms, in lists within which they are swapped (fixed values).
+#: Identity terms (English, French, German, Spanish), in lists within which they are swapped (fixed values).
 IDENTITY_TERMS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("girl", "boy"),
     ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
@@ -51,6 +52,12 @@ IDENTITY_TERMS = (
     ("black", "white", "asian", "latino"), ("africans", "europeans", "asians", "americans"),
     ("gay", "straight", "lesbian", "bisexual", "transgender"), ("immigrants", "citizens", "refugees"),
     ("old", "young"), ("deaf", "blind", "disabled"),
+    ("femmes", "hommes"), ("femme", "homme"), ("filles", "garçons"), ("musulmans", "chrétiens", "juifs"), ("musulman", "chrétien", "juif"),
+    ("noirs", "blancs"), ("immigrés", "citoyens", "réfugiés"), ("sourds", "aveugles"),
+    ("frauen", "männer"), ("frau", "mann"), ("mädchen", "jungen"), ("muslime", "christen", "juden"),
+    ("schwarze", "weiße"), ("einwanderer", "bürger", "flüchtlinge"), ("gehörlose", "blinde"),
+    ("mujeres", "hombres"), ("mujer", "hombre"), ("chicas", "chicos"), ("musulmanes", "cristianos", "judíos"), ("musulmán", "cristiano", "judío"),
+    ("negros", "blancos"), ("inmigrantes", "ciudadanos", "refugiados"), ("sordos", "ciegos"),
 )
 
 _WORD = np.zeros(256, bool)
@@ -81,14 +88,51 @@ def block_features(block) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct features of each text and of its counterfactual (null if none)."""
     for batch in batches:
         for block in text_blocks(batch.column("text")):
             twins = [counterfactual(block.text(i).decode()) for i in range(block.n)]
             out = []
             for part in (block, next(text_blocks(pa.array(twins, pa.string()), 1 << 62))):
                 owner, feature = block_features(part)
-                out.append([np.unique(feature[owner == i]).tobytes() if part.valid[i] else None for i in range(part.n)] if len(owner) else [None] * part.n)
-            yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(block.first, block.n), pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())], names=["toxic", "features", "twin"])
+                out.append([np.unique(feature[owner == i]).view(np.int64) if part.valid[i] and len(owner) else None for i in range(part.n)])
+            yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(block.first, block.n), pa.array(out[0], pa.list_(pa.int64())), pa.array(out[1], pa.list_(pa.int64()))],
+                                             names=["toxic", "features", "twin"])
+
+
+def _select(sample: DataFrame, toxic: int, clean: int) -> np.ndarray:
+    """Features whose presence goes with the label, the strongest by likelihood
+    ratio: counted on Spark, at most FEATURES of them reach the driver."""
+    counts = sample.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where(F.col("a") + F.col("b") >= LEAST_ROWS)
+    share = (F.col("a") + F.col("b")) / F.lit(float(toxic + clean))
+
+    def part(observed, expected):
+        return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(0.0)
+
+    ratio = 2 * (part(F.col("a"), share * toxic) + part(F.col("b"), share * clean) + part(toxic - F.col("a"), (1 - share) * toxic) + part(clean - F.col("b"), (1 - share) * clean))
+    best = counts.select("feature", ratio.alias("ratio")).where(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "feature").limit(FEATURES).collect()
+    return np.sort(np.array([r["feature"] for r in best], np.int64).view(np.uint64))
+
+
+def _known_features(features: np.ndarray):
+    """Rows (toxic, features, twin) with the indices of the selected features only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = []
+            for name in ("features", "twin"):
+                kept = []
+                for x in batch.column(name):
+                    if not x.is_valid:
+                        kept.append(None)
+                        continue
+                    own = x.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                    at = np.minimum(np.searchsorted(features, own), max(len(features) - 1, 0))
+                    kept.append(at[features[at] == own].astype(np.int32) if len(features) else np.zeros(0, np.int32))
+                columns.append(pa.array(kept, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *columns], names=["toxic", "features", "twin"])
+
+    return run
 
 
 @dataclass
@@ -101,13 +145,10 @@ class Model:
 class _Rows:
     """Which selected features each row has, as pairs."""
 
-    def __init__(self, rows: list[np.ndarray], features: np.ndarray):
-        every = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
-        at = np.searchsorted(features, every)
-        at[at == len(features)] = 0
-        hit = np.flatnonzero(features[at] == every) if len(features) else np.zeros(0, np.int64)
-        self.column, self.row = at[hit], np.repeat(np.arange(len(rows)), [len(r) for r in rows])[hit]
-        self.n, self.width = len(rows), len(features)
+    def __init__(self, rows: list[list[int]], width: int):
+        self.column = np.concatenate([np.asarray(r, np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
+        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        self.n, self.width = len(rows), width
 
     def scores(self, w: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(np.bincount(self.row, w[self.column], self.n) + w[-1])))
@@ -117,39 +158,11 @@ class _Rows:
         return np.append(np.bincount(self.column, slope[self.row], self.width), slope.sum())
 
 
-def _frequent(rows: list[np.ndarray]) -> list[np.ndarray]:
-    """The rows without most features of fewer than LEAST_ROWS rows, which cannot be
-    selected: counted in a table of fixed size, in which a few share a place."""
-    places = np.uint64((1 << 24) - 1)
-    table = np.zeros(1 << 24, np.uint16)
-    for r in rows:
-        np.add.at(table, (r & places).astype(np.int64), 1)
-    return [r[table[(r & places).astype(np.int64)] >= LEAST_ROWS] for r in rows]
-
-
-def _select(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Features whose presence goes with the label, the strongest by likelihood ratio."""
-    every, number = np.unique(np.concatenate(rows), return_inverse=True)
-    label = np.repeat(toxic, [len(r) for r in rows])
-    a = np.bincount(number, label, len(every))
-    b = np.bincount(number, minlength=len(every)) - a
-    n1, n0 = toxic.sum(), len(toxic) - toxic.sum()
-
-    def part(observed, expected):
-        return np.where(observed > 0, observed * np.log(np.maximum(observed, 1e-9) / expected), 0.0)
-
-    share = (a + b) / len(rows)
-    ratio = 2 * (part(a, share * n1) + part(b, share * n0) + part(n1 - a, np.maximum((1 - share) * n1, 1e-9)) + part(n0 - b, np.maximum((1 - share) * n0, 1e-9)))
-    good = np.flatnonzero((ratio >= LEAST_RATIO) & (a + b >= LEAST_ROWS))
-    good = good[np.argsort(-ratio[good], kind="stable")[:FEATURES]]
-    return np.sort(every[good])
-
-
-def fit_rows(rows: list[np.ndarray], toxic: np.ndarray, twins: list[tuple[int, np.ndarray]], share: float) -> Model:
+def fit_rows(features: np.ndarray, rows: list[list[int]], toxic: np.ndarray, twins: list[tuple[int, list[int]]], share: float, penalty: float = COUNTERFACTUAL) -> Model:
     """Logistic regression with ridge and counterfactual penalty, by Adam steps.
-    ``twins``: (row, features of its counterfactual); ``share``: of toxic rows."""
-    features = _select(rows, toxic)
-    own, swapped = _Rows(rows, features), _Rows([t for _, t in twins], features)
+    ``rows``: indices of the features each row has; ``twins``: (row, those of its
+    counterfactual); ``share``: of toxic rows."""
+    own, swapped = _Rows(rows, len(features)), _Rows([t for _, t in twins], len(features))
     pair = np.array([i for i, _ in twins], np.int64)
     w, m, v = (np.zeros(len(features) + 1) for _ in range(3))
     for step in range(1, STEPS + 1):
@@ -158,7 +171,7 @@ def fit_rows(rows: list[np.ndarray], toxic: np.ndarray, twins: list[tuple[int, n
         g = np.zeros(len(w))
         if len(pair):
             q = swapped.scores(w)
-            gap = 2 * COUNTERFACTUAL * (p[pair] - q) / len(pair)
+            gap = 2 * penalty * (p[pair] - q) / len(pair)
             np.add.at(slope, pair, gap * p[pair] * (1 - p[pair]))
             g += swapped.gradient(-gap * q * (1 - q))
         g += own.gradient(slope)
@@ -169,25 +182,32 @@ def fit_rows(rows: list[np.ndarray], toxic: np.ndarray, twins: list[tuple[int, n
     return Model(features, w[:-1], float(w[-1] + shift))
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model | None:
+def sampled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(toxic, text) of the labelled rows to learn from: of each chosen id one
+    text, the least by hash, so that repeated ids add no rows."""
+    known = labels.select(F.col("doc_id").alias("label_id"), "toxic").where("label_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("label_id"))).distinct()
+    order = F.xxhash64("label_id")
+    chosen = known.where("toxic = 1").orderBy(order, "label_id").limit(TOXIC_ROWS).unionByName(known.where("toxic = 0").orderBy(order, "label_id").limit(CLEAN_ROWS))
+    rows = docs.select(F.col(doc_id).cast("long").alias("label_id"), F.col(text).alias("text")).where(F.col(text).isNotNull()).join(F.broadcast(chosen), "label_id")
+    return rows.groupBy("label_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")).select(F.col("toxic").cast("int").alias("toxic"), "text")
+
+
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", penalty: float = COUNTERFACTUAL) -> Model | None:
     """The model of a bounded sample of the labelled rows that are not held out."""
     ship(docs.sparkSession)
-    known = labels.select(F.col("doc_id").alias("label_id"), "toxic").where("label_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("label_id"))).distinct()
+    known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).select("doc_id", "toxic").distinct()
     totals = dict(known.groupBy("toxic").count().collect())
     if not (totals.get(0) and totals.get(1)):
         return None
-    order = F.xxhash64("label_id")
-    chosen = known.where("toxic = 1").orderBy(order, "label_id").limit(TOXIC_ROWS).unionByName(known.where("toxic = 0").orderBy(order, "label_id").limit(CLEAN_ROWS))
-    rows = docs.select(F.col(doc_id).cast("long").alias("label_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "label_id")
-    sample = rows.select("toxic", "text").mapInArrow(_sample_features, "toxic int, features binary, twin binary").collect()
-    sample = [r for r in sample if r["features"]]
-    toxic = np.array([r["toxic"] for r in sample], np.int64)
-    if not 0 < toxic.sum() < len(toxic):
+    sample = sampled(docs, labels, doc_id, text).mapInArrow(_sample_features, "toxic int, features array<long>, twin array<long>").where("features IS NOT NULL")
+    sample = materialize(sample, "toxic_sample")
+    found = dict(sample.groupBy("toxic").count().collect())
+    if not (found.get(0) and found.get(1)):
         return None
-    twins = [(i, np.frombuffer(r["twin"], np.uint64)) for i, r in enumerate(sample) if r["twin"]]
-    features = _frequent([np.frombuffer(r["features"], np.uint64) for r in sample])
-    del sample
-    return fit_rows(features, toxic, twins, totals[1] / (totals[0] + totals[1]))
+    features = _select(sample, found[1], found[0])
+    rows = sample.mapInArrow(_known_features(features), "toxic int, features array<int>, twin array<int>").collect()  # TOXIC_ROWS + CLEAN_ROWS rows of at most FEATURES numbers
+    twins = [(i, r["twin"]) for i, r in enumerate(rows) if r["twin"] is not None]
+    return fit_rows(features, [r["features"] for r in rows], np.array([r["toxic"] for r in rows], np.int64), twins, totals[1] / (totals[0] + totals[1]), penalty)
 
 
 def _scores(model: Model | None, block) -> np.ndarray:

@@ -116,6 +116,26 @@ def test_near_copies_that_meet_in_cells(spark, monkeypatch):
     assert got == brute.near_duplicates(rows, 2)
 
 
+def test_long_copies_that_meet_in_small_cells(spark, monkeypatch):
+    """As before, with blocks bounded by shingles."""
+    monkeypatch.setattr(neardup, "GROUP_SHINGLES", 250)
+    rnd = random.Random(8)
+    words, rows = [f"w{i}" for i in range(120)], []
+    for d in range(30):
+        words = list(words)
+        for _ in range(3):
+            words[rnd.randrange(120)] = f"n{rnd.random()}"
+        rows.append((d, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs, 2).collect()}
+    assert got == brute.near_duplicates(rows, 2)
+
+
+def test_set_key_has_the_size():
+    keys = {neardup._set_key(np.arange(n, dtype=np.uint64)) for n in range(1, 50)}
+    assert len(keys) == 49 and all(int.from_bytes(k[:8], "little") in range(1, 50) for k in keys)
+
+
 def test_near_duplicates_of_nothing_and_null_ids(spark):
     assert neardup.near_duplicates(empty_documents(spark), 5).collect() == []
     docs = spark.createDataFrame([(None, "a b c d e f"), (None, None), (3, "a b c d e f")], "doc_id long, text string")
@@ -375,6 +395,37 @@ def test_toxicity_without_labels(spark):
     assert toxicity.judge(empty_documents(spark), labels).collect() == []
 
 
+def test_sample_has_one_row_for_each_id(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TOXIC_ROWS", 5)
+    monkeypatch.setattr(toxicity, "CLEAN_ROWS", 30)
+    rows = toxic_rows(300)
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(rows[k][0], rows[k][1] + f" again {j % 7}") for k in range(0, 40) for j in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, t) for d, _, t in rows], "doc_id long, toxic int")
+    got = toxicity.sampled(docs, labels).collect()
+    assert len(got) == 35 and sum(r.toxic for r in got) == 5
+
+
+def test_penalty_brings_counterfactuals_together(spark):
+    """A group named mostly in toxic texts: without the penalty its name alone raises the score."""
+    rnd = random.Random(9)
+    rows = []
+    for d in range(1200):
+        toxic = d % 3 == 0
+        words = rnd.choices([f"w{i}" for i in range(200)], k=30)
+        words[3] = rnd.choice(["idiot", "moron"]) if toxic and d % 2 else "so"
+        words[7] = "musulmans" if rnd.random() < (0.8 if toxic else 0.1) else "chrétiens"
+        rows.append((d, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, t) for d, _, t in rows], "doc_id long, toxic int")
+    probe = spark.createDataFrame([("les musulmans",), ("les chrétiens",)], "text string")
+
+    def gap(penalty):
+        scores = [r.toxicity_score for r in toxicity.score(probe, toxicity.fit(docs, labels, penalty=penalty)).collect()]
+        return abs(scores[0] - scores[1])
+
+    assert gap(toxicity.COUNTERFACTUAL) < 0.5 * gap(0.0)
+
+
 def test_counterfactual_swaps_only_terms():
     assert toxicity.counterfactual("Muslims and women") == "christians and men"
     assert toxicity.counterfactual("womenfolk") is None
@@ -452,3 +503,18 @@ def test_slice_hashes_depend_on_content_only():
     data = np.frombuffer(b"abcabcxabc" + bytes(300) + b"abc", np.uint8)
     h = slice_hashes(data, np.array([0, 3, 7, 310, 0, 0, 10, 10]), np.array([3, 6, 10, 313, 2, 0, 11, 12]))
     assert len(set(h[:4].tolist())) == 1 and len(set(h[3:].tolist())) == 5
+
+
+# --- 5, memory -------------------------------------------------------------------
+
+def test_codec_cache_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 1 << 16)
+    with open(bpe.default_ranks(), "rb") as f:
+        codec = bpe.Codec(f.read())
+    rnd = random.Random(2)
+    words = ["".join(rnd.choices("abcdefgh", k=9)).encode() for _ in range(2000)] + [b"xyz" * 5000]
+    first = [codec.entry(w)[0] for w in words]
+    assert codec.held <= bpe.CACHE // 2 and 0 < len(codec.cache) + len(codec.before) < 200
+    assert [codec.merge(w) for w in words] == first and all(codec.decode(i) == w for i, w in zip(first, words))
+    codec.release()
+    assert not codec.cache and not codec.before and codec.held == 0
