@@ -22,7 +22,7 @@ over all buckets and their partial flows added later. Only sums of at least
 ``min_count`` and words' partial sums leave that stage.
 
 Defined results: null text -> no words; null lang -> ``und``. Extra columns are
-ignored. Counts stay exact up to 10**15. In one block of 4 MB and in one bucket
+ignored. Counts stay exact up to 10**15. In one block of 2 MB and in one bucket
 items are told apart by 64-bit hash, everywhere else by their text.
 """
 
@@ -45,11 +45,13 @@ TOP = 2000
 COVERED = 50
 UNKNOWN = "und"
 #: Bytes of text counted at once.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 #: Buckets for each shuffle partition (one is merged at a time).
-_BUCKETS = 4
+_BUCKETS = 8
 #: A node with more occurrences than this in one block may be spread; nodes spread at most.
-HOT, MOST_HOT = 1024, 4096
+HOT, MOST_HOT = 512, 4096
+#: Parts of a language that are ranked before all of it.
+_PARTS = 64
 #: Twice as many items a bucket holds before they are merged.
 _HELD = 1 << 20
 
@@ -317,8 +319,8 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, covered: int = COV
     two = two.select("lang", "phrase", "a", "l", "r", _score(F.col("a"), F.col("l"), F.col("r")).alias("score"))
 
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    every = three.unionByName(two).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(partitions(docs.sparkSession))))
-    # best of each part of a language first: the last window gets top rows from each part at most
+    every = three.unionByName(two).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(_PARTS)))
+    # best of each part of a language first: the last window gets _PARTS * top rows at most
     few = every.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top).drop("rank", "part")
     best = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     totals = counts.where("k = 0").select("lang", F.col("n").alias("n"))
