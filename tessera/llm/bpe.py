@@ -34,9 +34,11 @@ from tessera.llm.blocks import ship, slice_hashes, text_blocks
 
 #: Bytes of merged slices a task keeps: half for those used since the last turn,
 #: half for those of the turn before.
-CACHE = 32 << 20
+CACHE = 64 << 20
 #: Bytes a slice takes beside its own, its ids' and its decimals' (objects, table).
-_ENTRY = 400
+_ENTRY = 800
+#: Bytes up to which the pairs of a slice are kept in a list, beyond it in a heap.
+_SHORT = 64
 #: White space as the pattern's \\s has it (fixed values).
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Contractions the pattern splits off (fixed values): letters after the apostrophe.
@@ -169,6 +171,7 @@ class Codec:
     def __init__(self, rank_file: bytes):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.none = max(self.tokens, default=0) + 1  # above every rank
         self.release()
 
     def release(self) -> None:
@@ -183,6 +186,18 @@ class Codec:
         if word in ranks:
             return (ranks[word],)
         n = len(word)
+        if n <= _SHORT:
+            parts, none = [word[i:i + 1] for i in range(n)], self.none
+            pairs = [ranks.get(word[i:i + 2], none) for i in range(n - 1)]
+            while pairs and (least := min(pairs)) < none:
+                i = pairs.index(least)
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                del pairs[i]
+                if i:
+                    pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+                if i < len(pairs):
+                    pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+            return tuple([ranks[part] for part in parts])
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         end = list(range(1, n + 1))
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(word[i:i + 2])) is not None]
