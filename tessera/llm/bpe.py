@@ -36,7 +36,7 @@ from tessera.llm.blocks import ship, slice_hashes, text_blocks
 #: half for those of the turn before.
 CACHE = 64 << 20
 #: Bytes a slice takes beside its own, its ids' and its decimals' (objects, table).
-_ENTRY = 800
+_ENTRY = 400
 #: Bytes up to which the pairs of a slice are kept in a list, beyond it in a heap.
 _SHORT = 64
 #: White space as the pattern's \\s has it (fixed values).
@@ -225,7 +225,8 @@ class Codec:
             found = self.before.get(word)
             if found is None:
                 ids = self.merge(word)
-                found = (ids, b"".join([b"%d," % i for i in ids]), self.decode(ids))
+                decoded = self.decode(ids)
+                found = (ids, b"".join([b"%d," % i for i in ids]), word if decoded == word else decoded)
             size = _ENTRY + 8 * len(found[0]) + len(found[1]) + 2 * len(word)
             if size > CACHE // 8:
                 return found
