@@ -38,7 +38,7 @@ def query(name: str, ids: str, sql: str | None = None):
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from tessera.plans import (  # noqa: F401
-        q_medallion, q_relational, q_functions, q_changes, q_generate, q_quality, q_files, q_streaming, q_ingest, q_sales,
+        q_medallion, q_relational, q_functions, q_changes, q_generate, q_quality, q_files, q_streaming, q_ingest, q_sales, q_rollup,
     )
 
 

@@ -143,14 +143,15 @@ def delete_where(spark, sf_dir):
 
 @query("schema_evolution", "T3 P5",
        sql="""SELECT o_orderkey, o_custkey, o_totalprice AS total_price, CAST(NULL AS DOUBLE) AS discount
-       FROM orders WHERE o_orderstatus = 'F'
+       FROM orders WHERE coalesce(o_orderstatus = 'F', false)
        UNION ALL
        SELECT o_orderkey, o_custkey, o_totalprice AS total_price, CAST(0.05 AS DOUBLE) AS discount
-       FROM orders WHERE o_orderstatus <> 'F'""")
+       FROM orders WHERE NOT coalesce(o_orderstatus = 'F', false)""")
 def schema_evolution(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
-    old = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice")
-    new = (o.filter(F.col("o_orderstatus") != "F")
+    first = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    old = o.filter(first).select("o_orderkey", "o_custkey", "o_totalprice")
+    new = (o.filter(~first)
             .withColumn("discount", F.lit(0.05))
             .drop("o_orderstatus", "o_orderdate", "o_orderpriority"))
     return changes.evolve(old, new, {"o_totalprice": "total_price"})

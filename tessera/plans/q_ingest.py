@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions.time import parse_two_layouts
+from tessera.operators.dedup import latest_by_key
 from tessera.plans.catalog import query
 from tessera.plans.q_files import EVENTS_SCHEMA
 from tessera.session import work_path
@@ -34,14 +35,18 @@ def replace_schema(spark, sf_dir):
        sql="SELECT event_id, ts, user_id, event_type, value, props, true AS has_lineage FROM events WHERE event_id % 7 <> 0")
 def raw_to_events(spark, sf_dir):
     """Raw JSON files -> lineage columns -> NOT NULL filter -> one row for each key.
-    The raw files hold every tenth event twice and lack every seventh's type."""
+    The raw files hold every tenth event twice, the second a second later and
+    with another value, and lack every seventh's type; the earliest row stays."""
     path = work_path(spark, "raw_events")
     e = load(spark, sf_dir, "events").withColumn("event_type", F.when(F.col("event_id") % 7 != 0, F.col("event_type")))
-    e.unionByName(e.where(F.col("event_id") % 10 == 0)).write.option("timestampNTZFormat", MICROS).json(path)
+    copies = e.where(F.col("event_id") % 10 == 0).withColumns({"ts": F.col("ts") + F.expr("INTERVAL 1 SECOND"), "value": F.col("value") + 1})
+    e.unionByName(copies).write.option("timestampNTZFormat", MICROS).json(path)
     raw = sink.with_lineage(spark.read.option("timestampNTZFormat", MICROS).schema(EVENTS_SCHEMA).json(path))
     known = raw.where(F.col("event_id").isNotNull() & F.col("event_type").isNotNull())
-    # copies are equal but for where they were read: an aggregation on all columns keeps one
-    return known.groupBy(*EVENTS_SCHEMA.names).agg(F.bool_and(F.col("_source_file").isNotNull() & F.col("_ingested_at").isNotNull()).alias("has_lineage"))
+    # chosen on the data, not on where or when it was read
+    tie = F.xxhash64(*EVENTS_SCHEMA.names).bitwiseAND(F.lit((1 << 63) - 1))
+    lineage = (F.col("_source_file").isNotNull() & F.col("_ingested_at").isNotNull()).alias("has_lineage")
+    return latest_by_key(known.select(*EVENTS_SCHEMA.names, lineage), ["event_id"], -F.unix_micros(F.col("ts").cast("timestamp")), tie)
 
 
 @query("two_timestamp_layouts", "F2 F1 F15",

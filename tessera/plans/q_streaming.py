@@ -142,15 +142,34 @@ def stream_restart_no_dups(spark, sf_dir):
     base = work_path(spark, "stream_restart")
     e = load(spark, sf_dir, "events")
     half = e.agg(F.percentile_approx("event_id", 0.5)).scalar()
-    e.filter(F.col("event_id") <= half).write.parquet(f"{base}/in")
+    e.filter(F.coalesce(F.col("event_id") <= half, F.lit(True))).write.parquet(f"{base}/in")
     jobs.run_to_files(jobs.file_stream(spark, f"{base}/in", EVENTS_SCHEMA), f"{base}/out", f"{base}/cp")
-    e.filter(F.col("event_id") > half).write.mode("append").parquet(f"{base}/in")
+    e.filter(~F.coalesce(F.col("event_id") <= half, F.lit(True))).write.mode("append").parquet(f"{base}/in")
     # second run, same checkpoint: only the new files are read
     jobs.run_to_files(jobs.file_stream(spark, f"{base}/in", EVENTS_SCHEMA), f"{base}/out", f"{base}/cp")
     out = spark.read.parquet(f"{base}/out")
     return out.agg(F.count(F.lit(1)).alias("total_rows"), F.countDistinct("event_id").alias("distinct_ids"))
 
 
+@query("stream_dedup", "U3 R5 R8", sql="SELECT event_id, ts, event_type, value FROM events")
+def stream_dedup(spark, sf_dir):
+    """Envelope files in which every third event comes twice, the copy in a later
+    file and with another value: the first row of each key goes on."""
+    base = work_path(spark, "stream_dedup")
+    e = load(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("event_time"), "event_type", "value")
+    e.write.parquet(f"{base}/in")
+    checkpoint = (f"{base}/out", f"{base}/cp")
+
+    def first_rows():
+        s = jobs.file_stream(spark, f"{base}/in", e.schema)
+        return jobs.run_to_files(jobs.dedup_within_watermark(s, ["event_id"], "event_time", "40 days"), *checkpoint)
+
+    first_rows()
+    e.where(F.col("event_id") % 3 == 0).withColumn("value", F.col("value") + 1).write.mode("append").parquet(f"{base}/in")
+    first_rows()  # second run, same checkpoint: only copies are new
+    return spark.read.parquet(f"{base}/out").select("event_id", F.col("event_time").cast("timestamp_ntz").alias("ts"), "event_type", "value")
+
+
 @query("stream_to_files", "K10 K7 R7", sql="SELECT *, CAST(ts AS DATE) AS event_date FROM events")
 def stream_to_files(spark, sf_dir):
     """Checkpointed append of a stream into date-partitioned Parquet."""

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 # JSON keeps microseconds (the default text form stops at milliseconds)
 JSON_TS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -89,16 +90,63 @@ def run_update_mode(stream: DataFrame, sink: str, checkpoint: str):
                      .foreachBatch(write_batch).trigger(availableNow=True).start())
 
 
-def latest_state(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
-    """Final table of an update-mode stream: per key the row of the last batch
-    that emitted it. The last batch is a hash aggregation over numbers; its rows
-    are joined back by key and batch."""
-    d = spark.read.parquet(sink)
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted; none if it is not there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in files.listStatus(place) if x.isDirectory()) if files.exists(place) else []
+
+
+def _snapshots(spark: SparkSession, sink: str) -> list[str]:
+    """Folders of finished snapshots, oldest first; a name ends with the last batch in it."""
+    return [f"{sink}.state/{name}" for name in _folders(spark, f"{sink}.state") if name.startswith("upto-")]
+
+
+def _newest(d: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the row of the last batch. That batch is a hash aggregation over
+    numbers; its rows are joined back by key and batch."""
     last = d.groupBy(*keys).agg(F.max("_batch").alias("_last")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_last")
     cond = d["_batch"] == last["_last"]
     for k in keys:
         cond = cond & d[k].eqNullSafe(last[f"_k_{k}"])
-    return d.join(last.hint("shuffle_hash"), cond, "left_semi").drop("_batch")
+    return d.join(last.hint("shuffle_hash"), cond, "left_semi")
+
+
+def _state(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
+    """Newest rows with their batch: the last snapshot and the batches after it."""
+    batches, snapshots = spark.read.parquet(sink), _snapshots(spark, sink)
+    columns = batches.columns
+    batches = batches.withColumn("_batch", F.col("_batch").cast("long"))
+    if not snapshots:
+        return _newest(batches, keys)
+    upto = int(snapshots[-1].rsplit("-", 1)[1])
+    later = batches.where(F.col("_batch") > upto)  # folders are pruned by their name
+    return _newest(spark.read.parquet(snapshots[-1]).select(*columns).unionByName(later), keys)
+
+
+def latest_state(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
+    """Final table of an update-mode stream: per key the row of the last batch
+    that emitted it, from the last snapshot and the batches written since."""
+    return _state(spark, sink, keys).drop("_batch")
+
+
+def fold_state(spark: SparkSession, sink: str, keys: list[str]) -> str | None:
+    """Writes a snapshot of the state so far, after which a read opens that and
+    later batches only. To be called between runs, as often as reads should stay
+    short. A batch that is replayed after it rewrites its own folder with
+    the same rows, so the snapshot stays right. Returns the snapshot's path."""
+    batches = [int(name.split("=", 1)[1]) for name in _folders(spark, sink) if name.startswith("_batch=")]
+    if not batches:
+        return None
+    path = f"{sink}.state/upto-{max(batches):020d}"
+    if path not in _snapshots(spark, sink):
+        draft = f"{sink}.state/draft-{max(batches):020d}"
+        _state(spark, sink, keys).write.mode("overwrite").parquet(draft)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files = place(draft).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.rename(place(draft), place(path)):  # a snapshot is seen whole or not at all
+            raise OSError(f"cannot rename {draft}")
+    return path
 
 
 def _finished(q):
@@ -107,17 +155,61 @@ def _finished(q):
 
 
 def rows_written(spark: SparkSession, sink: str) -> int:
-    """Rows committed to a sink so far, from the sink itself: a query's own
-    progress reports are kept for its last batches only."""
+    """Rows committed to a sink, counted from the sink itself."""
     return spark.read.parquet(sink).count()
 
 
+class Progress(StreamingQueryListener):
+    """Rows read by each batch of the streams of a session while it is open
+    (``with Progress(spark) as progress``), kept as they end: nothing is
+    counted again, and no batch is forgotten after the first hundred. A replayed
+    batch replaces its entry."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.rows = spark, {}
+
+    def __enter__(self):
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *failure):
+        # reports come by a queue of Spark's; all sent so far are delivered first
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        report = event.progress
+        self.rows[str(report.id), report.batchId] = report.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def total(self, query=None) -> int:
+        """Rows of one query, or of all."""
+        return sum(n for (of, _), n in self.rows.items() if query is None or of == str(query.id))
+
+
 # --------------------------------------------------------------- operators
 def event_time(col: str) -> Column:
     """Watermarks need TIMESTAMP (not NTZ, not text)."""
     return F.col(col).cast("timestamp")
 
 
+def dedup_within_watermark(stream: DataFrame, keys: list[str], time_col: str, delay: str) -> DataFrame:
+    """U3 on streams: the first row of each key; further ones are dropped if they
+    come while the key is kept, which is until the watermark passes its first
+    row's time by ``delay``. State so holds the keys of about one delay, not of
+    all time. Rows without a time are kept out: no watermark would ever let
+    them go."""
+    return stream.where(F.col(time_col).isNotNull()).withWatermark(time_col, delay).dropDuplicatesWithinWatermark(keys)
+
+
 def tumbling(stream: DataFrame, time_col: str, seconds: int, keys: list[str], aggs: list[Column],
              watermark: str | None = None) -> DataFrame:
     """Tumbling-window aggregate with flattened window bounds.
