@@ -82,7 +82,8 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame | None = None, p
         whole = listed.select("host", F.regexp_replace("path", "/$", "").alias("path")).distinct()
         listed_keys = listed_keys.unionByName(whole.select("host", "path", F.concat(F.lit("="), "host", "path").alias("key"),
                                                            F.lit("block").alias("verdict"), F.lit(False).alias("is_rule")))
-    listed_keys = listed_keys.dropDuplicates(["key", "is_rule"])
+    # of two rules for one key block wins, whatever their order ("block" is the greater text)
+    listed_keys = listed_keys.groupBy("key", "is_rule").agg(F.max("verdict").alias("verdict"))
     shape = rules.agg(F.max(F.size(F.split("host", r"\."))), F.collect_set(F.length("path"))).first()
     labels, lengths = shape[0] or 0, sorted(shape[1])
     n_blocks = min(MAX_BLOCKS, max(1, math.ceil(listed_keys.count() / KEYS_PER_BLOCK)))
