@@ -1,7 +1,8 @@
 """Operator 10: sharding by histogram sort.
 
-Documents are ordered by (hash of the text, doc_id): equal texts lie together,
-and a group of copies however large can be cut between two shards. Splitters are
+Documents are ordered by (hash of the text, number of the row in the table):
+equal texts lie together, and a group of copies however large, also of one
+repeated row, can be cut anywhere between two shards. Splitters are
 found as histogram sort does: every partition counts the exact bytes below a
 set of probe keys, the sums narrow each splitter's interval, and probes are
 placed anew inside it until the bytes below a boundary meet the tolerance or no
@@ -15,8 +16,9 @@ Slots count a shard's rows from 0 in key order: the place of a row in its
 range partition plus the rows of the shard in earlier partitions.
 
 Defined results: null text -> size 1 and no crc (null counts as an empty text
-for the hash); null doc_id sorts first; identical rows are interchangeable and
-not parted by a splitter; an empty table gives no rows. With fewer rows than
+for the hash); a doc_id, null or repeated, has no part in the order; row numbers
+are written with the keys, so that a lost task finds them again; an empty table
+gives no rows. With fewer rows than
 shards some shards stay empty.
 """
 
@@ -40,7 +42,7 @@ _LOW, _HIGH = -(1 << 63), (1 << 63) - 1
 
 
 def _histogram(probes: np.ndarray):
-    """Exact bytes and rows of a partition below each probe key (hash, id)."""
+    """Exact bytes of a partition below each probe key (hash, row number)."""
     hashes, ids = probes["h"], probes["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,13 +124,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: s
     keys = materialize(docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), (F.coalesce(F.octet_length(body), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("h"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(_LOW + 1)).alias("id")), "shard_keys")
+        F.monotonically_increasing_id().alias("id")), "shard_keys")
     cuts = splitters(keys.select("h", "id", "size"), shards)
     # the number of splitters at or below a key; at most shards-1 comparisons
     number = F.lit(0)
     for h, i in cuts:
         number = number + F.when((F.col("h") > h) | ((F.col("h") == h) & (F.col("id") >= i)), 1).otherwise(0)
-    order = ["shard", "h", "id", "size", "text_crc32"]
+    order = ["shard", "h", "id"]
     placed = materialize(keys.withColumn("shard", number).repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
                          .select("doc_id", "size", "text_crc32", "shard", F.monotonically_increasing_id().alias("at")), "shard_rows")
     part = F.shiftright("at", 33)

@@ -358,6 +358,14 @@ def test_listed_urls_and_empty_lists(spark):
     assert urlfilter.judge(pages.limit(0), urlfilter.rule_table(spark)).collect() == []
 
 
+@pytest.mark.parametrize("verdicts", [("allow", "block"), ("block", "allow")])
+def test_of_two_rules_for_one_key_block_wins(spark, verdicts):
+    rules = urlfilter.rule_table(spark, [(v, "a.com", "/x") for v in verdicts] + [("allow", "b.com", "/"), ("allow", "b.com", "/")])
+    pages = spark.createDataFrame([(1, "http://www.a.com/x/y"), (2, "https://b.com/"), (3, "https://c.com/")], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge(pages, rules).collect()}
+    assert got == {1: ("a.com/x", "block"), 2: ("b.com/", "allow"), 3: (None, "allow")}
+
+
 # --- 8 -------------------------------------------------------------------------
 
 def toxic_rows(n=400):
@@ -493,6 +501,29 @@ def test_shards_with_a_hot_group(spark):
     assert len(totals) == 16 and max(totals.values()) < 1.02 * sum(totals.values()) / 16
 
 
+def test_shards_of_one_repeated_row(spark):
+    """A third of the rows are one row: every shard has its share all the same."""
+    rows = [(1, "same text " * 20)] * 2000 + [(d, f"text {d} " * 25) for d in range(4000)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    sizes, slots = defaultdict(int), defaultdict(list)
+    for r in got:
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert len(got) == 6000 and len(sizes) == 16
+    assert max(sizes.values()) < 1.02 * sum(sizes.values()) / 16
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_shards_of_documents_are_near_equal(spark):
+    docs = documents(spark)
+    got = sharding.shard(docs).collect()
+    sizes = defaultdict(int)
+    for r in got:
+        sizes[r.shard] += r.size
+    # whole documents, so a shard may be off by the tolerance and a document at either end
+    assert max(sizes.values()) <= (1 + 2 * sharding.TOLERANCE) * sum(sizes.values()) / 16 + 2 * max(r.size for r in got)
+
+
 def test_shards_of_nothing(spark):
     assert sharding.shard(empty_documents(spark)).collect() == []
 
