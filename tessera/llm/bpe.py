@@ -37,6 +37,8 @@ from tessera.llm.blocks import ship, slice_hashes, text_blocks
 CACHE = 64 << 20
 #: Bytes a slice takes beside its own, its ids' and its decimals' (objects, table).
 _ENTRY = 400
+#: Places that remember which slices came before.
+_SEEN = 1 << 20
 #: Bytes up to which the pairs of a slice are kept in a list, beyond it in a heap.
 _SHORT = 64
 #: White space as the pattern's \\s has it (fixed values).
@@ -171,6 +173,7 @@ class Codec:
     def __init__(self, rank_file: bytes):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.decimals = {rank: b"%d," % rank for rank in self.tokens}
         self.none = max(self.tokens, default=0) + 1  # above every rank
         self.release()
 
@@ -179,6 +182,7 @@ class Codec:
         self.cache: dict[bytes, tuple[tuple[int, ...], bytes, bytes]] = {}
         self.before: dict[bytes, tuple[tuple[int, ...], bytes, bytes]] = {}
         self.held = 0
+        self.seen = bytearray(_SEEN)
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of a slice: the pair of least rank is merged first, the leftmost of equals."""
@@ -226,12 +230,16 @@ class Codec:
             if found is None:
                 ids = self.merge(word)
                 decoded = self.decode(ids)
-                found = (ids, b"".join([b"%d," % i for i in ids]), word if decoded == word else decoded)
+                found = (ids, b"".join([self.decimals[i] for i in ids]), word if decoded == word else decoded)
+                place = hash(word) % _SEEN
+                if not self.seen[place]:  # kept from the second time on: most slices come once
+                    self.seen[place] = 1
+                    return found
             size = _ENTRY + 8 * len(found[0]) + len(found[1]) + 2 * len(word)
             if size > CACHE // 8:
                 return found
             if self.held + size > CACHE // 2:
-                self.before, self.cache, self.held = self.cache, {}, 0
+                self.before, self.cache, self.held, self.seen = self.cache, {}, 0, bytearray(_SEEN)
             self.cache[word] = found
             self.held += size
         return found
@@ -245,7 +253,8 @@ class Codec:
         hashes = slice_hashes(block.data, offsets[:-1], offsets[1:])
         _, example, which = np.unique(hashes, return_index=True, return_inverse=True)
         raw = block.data.tobytes()
-        table = [self.entry(raw[a:b]) for a, b in zip(offsets[example].tolist(), offsets[example + 1].tolist())]
+        words = [raw[a:b] for a, b in zip(offsets[example].tolist(), offsets[example + 1].tolist())]
+        table = [self.cache.get(w) or self.entry(w) for w in words]
         entries = [table[i] for i in which.tolist()]
         bounds, at = firsts.tolist(), block.offsets.tolist()
         for i in range(block.n):
