@@ -11,13 +11,18 @@ The suffix array of a shard is sparse and exact: a position can only start a
 match if a whole shortest window from it consists of benchmark words, so only
 such positions are sorted. Words are compared by 64-bit hash.
 
-Benchmark items reach the shards in portions of at most ``PORTION`` bytes of
-text; a larger benchmark makes more passes over the documents, each adding to
-what the one before found. Nothing is shuffled.
+Benchmark items reach the shards in portions of at most ``PORTION`` bytes.
+Equal texts are one item with a list of ids, and a text above ``PART`` bytes is
+cut into parts that overlap by a window less one word, so no window is lost. A
+larger benchmark makes more passes over the documents, each adding to what the
+one before found; a pass is written before the next portion is read, so the
+driver holds one portion. The documents are never shuffled.
 
 Defined results: null, empty or wordless documents have no hits and stay;
 items without words never occur; equal items are all reported; a null item_id
-counts as an item and is left out of the list of ids. Other columns are kept.
+counts as an item and is left out of the list of ids; an item found by several
+of its parts counts once, and its longest match is measured within a part.
+Other columns are kept.
 """
 
 from __future__ import annotations
@@ -29,11 +34,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.blocks import LOWER, gather_ranges, ship, slice_hashes, text_blocks, word_spans
+from tessera.llm.blocks import LOWER, gather_ranges, materialize, ship, slice_hashes, text_blocks, word_spans
 
 WINDOW = 10
 #: Bytes of benchmark text that one pass holds on the driver and in each task.
 PORTION = 16 << 20
+#: Bytes of text above which an item is cut into parts.
+PART = 1 << 20
 #: Bytes of text in a shard.
 SHARD = 4 << 20
 
@@ -57,14 +64,15 @@ class Items:
     starts: np.ndarray  # of the searched suffixes
     lengths: np.ndarray  # words of their windows
     owner: np.ndarray  # index of the item
-    ids: list
+    kept: list  # (ids, number of rows, key if the item is in parts) of each item
     reach: np.ndarray  # words from a suffix to the end of its item
 
 
-def make_items(ids: list, texts: list, window: int) -> Items | None:
+def make_items(rows: list, window: int) -> Items | None:
+    """``rows``: (text, ids, number of rows, key if the item is in parts)."""
     owner, starts, lengths, reach, words, kept = [], [], [], [], [], []
     at = 0
-    for block in text_blocks(pa.array(texts, pa.string()), 1 << 62):
+    for block in text_blocks(pa.array([r[0] for r in rows], pa.string()), 1 << 62):
         hashes, firsts = block_words(block)
         for i, (a, b) in enumerate(zip(firsts[:-1].tolist(), firsts[1:].tolist())):
             if b > a:
@@ -72,7 +80,7 @@ def make_items(ids: list, texts: list, window: int) -> Items | None:
                 n = b - a - width + 1
                 starts.append(at + np.arange(n)), lengths.append(np.full(n, width))
                 reach.append(b - a - np.arange(n)), owner.append(np.full(n, len(kept)))
-                words.append(hashes[a:b]), kept.append(ids[block.first + i])
+                words.append(hashes[a:b]), kept.append(tuple(rows[block.first + i][1:4]))
                 at += b - a
     if not kept:
         return None
@@ -179,53 +187,101 @@ def _search(items: Items | None, text: str):
                 which = np.searchsorted(firsts, start, "right") - 1
                 order = np.argsort(which, kind="stable")
                 cuts = np.searchsorted(which[order], np.arange(block.n + 1)).tolist()
-                before = {c: rows.column(c).to_pylist() for c in ("t_hits", "t_hit", "t_items", "t_count", "t_longest")}
-                hits, hit, names, counts, far = [], [], [], [], []
+                before = {c: rows.column(c).to_pylist() for c in ("t_hits", "t_hit", "t_items", "t_count", "t_longest", "t_parted")}
+                hits, hit, names, counts, far, parted = [], [], [], [], [], []
                 for i in range(block.n):
                     own = order[cuts[i]:cuts[i + 1]]
                     n = int(firsts[i + 1] - firsts[i])
                     old = before["t_hits"][i]
                     if not len(own):
                         hits.append(old), hit.append(before["t_hit"][i]), names.append(before["t_items"][i]), counts.append(before["t_count"][i])
-                        far.append(before["t_longest"][i])
+                        far.append(before["t_longest"][i]), parted.append(before["t_parted"][i])
                         continue
                     edge = np.zeros(n + 1, np.int64)
                     np.add.at(edge, start[own] - firsts[i], 1), np.add.at(edge, start[own] - firsts[i] + width[own], -1)
                     covered = np.cumsum(edge)[:n] > 0
                     if old:
                         covered |= np.unpackbits(np.frombuffer(old, np.uint8), count=n).astype(bool)
-                    items_found = np.unique(owner[own]).tolist()
+                    ids, count, keys = list(before["t_items"][i] or []), before["t_count"][i] or 0, set(before["t_parted"][i] or [])
+                    for k in np.unique(owner[own]).tolist():
+                        item_ids, n_rows, key = items.kept[k]
+                        if key is None or key not in keys:
+                            ids += item_ids
+                            count += n_rows
+                        keys |= {key} - {None}
                     hits.append(np.packbits(covered).tobytes()), hit.append(int(covered.sum()))
-                    names.append((before["t_items"][i] or []) + [str(items.ids[k]) for k in items_found if items.ids[k] is not None])
-                    counts.append((before["t_count"][i] or 0) + len(items_found))
+                    names.append(ids), counts.append(count), parted.append(sorted(keys) or None)
                     far.append(max(before["t_longest"][i] or 0, int(longest[i])))
                 new = {"t_words": pa.array(np.diff(firsts), pa.int64()), "t_hits": pa.array(hits, pa.binary()), "t_hit": pa.array(hit, pa.int64()),
-                       "t_items": pa.array(names, pa.list_(pa.string())), "t_count": pa.array(counts, pa.int64()), "t_longest": pa.array(far, pa.int64())}
+                       "t_items": pa.array(names, pa.list_(pa.string())), "t_count": pa.array(counts, pa.int64()), "t_longest": pa.array(far, pa.int64()),
+                       "t_parted": pa.array(parted, pa.list_(pa.string()))}
                 yield pa.RecordBatch.from_arrays([new.get(name, rows.column(k)) for k, name in enumerate(rows.schema.names)], names=rows.schema.names)
 
     return run
 
 
-def _portions(benchmark: DataFrame, item_id: str, text: str) -> Iterator[tuple[list, list]]:
-    """The benchmark in portions that are read to the driver one at a time."""
-    items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // (PORTION // 2)) or 1
-    for k in range(n):
-        own = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        rows = own.collect()
-        yield [r[0] for r in rows], [r[1] for r in rows]
+def _cut(window: int, size: int):
+    """Texts above ``size`` bytes in parts of at least ``window`` words, the rest as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in text_blocks(batch.column(0), size):
+                rows = batch.slice(block.first, block.n)
+                if len(block.data) <= size:
+                    yield rows
+                    continue
+                starts, ends, _ = word_spans(_WORD[LOWER[block.data]], block.offsets)
+                n, a, last = len(starts), 0, 0
+                while last < n:  # words have ASCII borders, so each slice is valid UTF-8
+                    last = int(np.searchsorted(ends, starts[a] + size, "right"))
+                    last = min(max(last, a + window), n)
+                    part = pa.array([block.data[starts[a]:ends[last - 1]].tobytes().decode()], rows.schema.field(0).type)
+                    yield pa.RecordBatch.from_arrays([part, *rows.columns[1:]], schema=rows.schema)
+                    a = last - window + 1
+
+    return run
+
+
+def _parts(benchmark: DataFrame, window: int, item_id: str, text: str) -> DataFrame:
+    """(text, ids, rows, key): a row for each different text of the benchmark or
+    part of one; ``key`` is set if the text is in parts."""
+    items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text")).where("text IS NOT NULL")
+    key = F.when(F.octet_length("text") > PART, F.sha2("text", 256))
+    grouped = items.groupBy("text").agg(F.collect_list("item_id").alias("ids"), F.count(F.lit(1)).alias("rows")).withColumn("key", key)
+    return materialize(grouped.mapInArrow(_cut(window, PART), grouped.schema), "benchmark_parts")
+
+
+def _portions(parts: DataFrame) -> Iterator[tuple[list, bool]]:
+    """The parts in portions of at most ``PORTION`` bytes, each read to the driver
+    when it is its turn, and whether it is the last. Parts are dealt over fine
+    buckets, whose sizes are known before they are packed."""
+    size = F.octet_length("text") + F.octet_length(F.array_join("ids", ",")) + 64
+    total = parts.agg(F.sum(size)).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("text", "key"), F.lit(16 * -(-total // PORTION) or 1))
+    packed, room = [[]], PORTION
+    for number, n_bytes in parts.groupBy(bucket.alias("b")).agg(F.sum(size)).sort("b").collect():
+        if n_bytes > room and packed[-1]:
+            packed.append([])
+            room = PORTION
+        packed[-1].append(number)
+        room -= n_bytes
+    for i, buckets in enumerate(packed):
+        yield parts.where(bucket.isin(buckets)).collect(), i == len(packed) - 1
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text",
                        item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The input rows with ``t_`` columns: words, a bit for each word that is hit,
-    their number, ids and number of the items found, words of the longest verbatim match."""
+    their number, ids and number of the items found, words of the longest verbatim
+    match, keys of the items found by a part."""
     ship(docs.sparkSession)
-    nothing = {"t_words": "long", "t_hits": "binary", "t_hit": "long", "t_items": "array<string>", "t_count": "long", "t_longest": "long"}
+    nothing = {"t_words": "long", "t_hits": "binary", "t_hit": "long", "t_items": "array<string>", "t_count": "long", "t_longest": "long",
+               "t_parted": "array<string>"}
     out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in nothing], *[F.lit(None).cast(k).alias(c) for c, k in nothing.items()])
-    for ids, texts in _portions(benchmark, item_id, item_text):
-        out = out.mapInArrow(_search(make_items(ids, texts, window), text), out.schema)
+    for rows, last in _portions(_parts(benchmark, window, item_id, item_text)):
+        out = out.mapInArrow(_search(make_items(rows, window), text), out.schema)
+        if not last:
+            out = materialize(out, "contamination")
     return out
 
 

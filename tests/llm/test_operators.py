@@ -1,9 +1,11 @@
 """Each operator against a plain version, on the small tables and on edge rows."""
 
 import base64
+import gc
 import hashlib
 import random
 import re
+import weakref
 import zlib
 from collections import defaultdict
 
@@ -202,6 +204,40 @@ def test_longest_match_and_removal(spark):
     assert decontam.contamination(empty_documents(spark), items).collect() == []
 
 
+def test_large_and_equal_benchmark_items(spark, monkeypatch):
+    """Items cut into parts over several portions, repeated items, and one portion
+    on the driver at a time."""
+    alive, most, make = [], [], decontam.make_items
+
+    class Watched(decontam.Items):
+        pass
+
+    def watched(rows, window):
+        items = make(rows, window)
+        items = items and Watched(**vars(items))
+        gc.collect()
+        alive[:] = [r for r in alive if r() is not None]
+        alive.append(weakref.ref(items)) if items else None
+        most.append(len(alive))
+        return items
+
+    monkeypatch.setattr(decontam, "PORTION", 3000)
+    monkeypatch.setattr(decontam, "PART", 700)
+    monkeypatch.setattr(decontam, "make_items", watched)
+    docs = documents(spark).limit(40).cache()
+    texts = [t for _, t in pairs(docs)]
+    long_item = " ".join(t.replace("\n", " ") for t in texts[:6])
+    items = [(1, long_item), (2, texts[7]), (3, texts[7]), (9, texts[7]), (4, "é" * 900), (5, None), (6, "")] + \
+        [(10 + k, " ".join(t.split()[:14])) for k, t in enumerate(texts[8:])]
+    got = decontam.contamination(docs, spark.createDataFrame(items, "item_id long, text string"))
+    found = sorted(tuple(r)[:6] for r in got.collect())
+    assert found == sorted(brute.contamination(pairs(docs), items))
+    assert len(most) > 3 and max(most) <= 2  # the one in use and the next being made
+    repeated = decontam.contamination(docs, spark.createDataFrame([(3, texts[7]), (3, texts[7]), (None, texts[7])], "item_id long, text string"))
+    hit = [r for r in repeated.collect() if r.contaminated]
+    assert hit and {(r.n_items, r.items_sha256) for r in hit} == {(3, hashlib.sha256(b"3,3").hexdigest())}
+
+
 # --- 4 -------------------------------------------------------------------------
 
 def test_chat_round_trip(spark):
