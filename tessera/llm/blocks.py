@@ -7,10 +7,11 @@ arrays built over a block stay small whatever a batch holds.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,6 +55,40 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give back what a task leaves in a Python worker that later tasks reuse:
+    the tables of powers, Arrow's free buffers and, with glibc, freed heap pages."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, with ``release`` at the end of each task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return task
+
+
+def lean_group(run: Callable[[tuple, pa.Table, pa.Table], pa.Table]):
+    """``run`` for a cogroup's ``applyInArrow``, with ``release`` after each group."""
+
+    def group(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return run(key, left, right)
+        finally:
+            release()
+
+    return group
+
+
 def partitions(spark: SparkSession) -> int:
     """The cluster's shuffle width, which its owner sizes to the data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from tessera.llm.blocks import ship, slice_hashes, text_blocks
+from tessera.llm.blocks import lean, ship, slice_hashes, text_blocks
 
 #: Bytes of merged slices a task keeps: half for those used since the last turn,
 #: half for those of the turn before.
@@ -318,7 +318,7 @@ def encode(docs: DataFrame, text: str = "text", ranks: str | None = None) -> Dat
         return pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(offsets, pa.list_(pa.int64()))],
                                           names=[*rows.schema.names, "token_ids", "token_offsets"])
 
-    return docs.mapInArrow(_each_block(rank_file, text, finish), schema)
+    return docs.mapInArrow(lean(_each_block(rank_file, text, finish)), schema)
 
 
 def decode(tokens: DataFrame, ids: str = "token_ids", ranks: str | None = None) -> DataFrame:
@@ -348,4 +348,4 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks:
         ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        _each_block(rank_file, "text", finish), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        lean(_each_block(rank_file, "text", finish)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.blocks import LOWER, gather_ranges, materialize, ship, slice_hashes, text_blocks, word_spans
+from tessera.llm.blocks import LOWER, gather_ranges, lean, materialize, ship, slice_hashes, text_blocks, word_spans
 
 WINDOW = 10
 #: Bytes of benchmark text that one pass holds on the driver and in each task.
@@ -248,7 +248,7 @@ def _parts(benchmark: DataFrame, window: int, item_id: str, text: str) -> DataFr
     items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text")).where("text IS NOT NULL")
     key = F.when(F.octet_length("text") > PART, F.sha2("text", 256))
     grouped = items.groupBy("text").agg(F.collect_list("item_id").alias("ids"), F.count(F.lit(1)).alias("rows")).withColumn("key", key)
-    return materialize(grouped.mapInArrow(_cut(window, PART), grouped.schema), "benchmark_parts")
+    return materialize(grouped.mapInArrow(lean(_cut(window, PART)), grouped.schema), "benchmark_parts")
 
 
 def _portions(parts: DataFrame) -> Iterator[tuple[list, bool]]:
@@ -279,7 +279,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                "t_parted": "array<string>"}
     out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in nothing], *[F.lit(None).cast(k).alias(c) for c, k in nothing.items()])
     for rows, last in _portions(_parts(benchmark, window, item_id, item_text)):
-        out = out.mapInArrow(_search(make_items(rows, window), text), out.schema)
+        out = out.mapInArrow(lean(_search(make_items(rows, window), text)), out.schema)
         if not last:
             out = materialize(out, "contamination")
     return out

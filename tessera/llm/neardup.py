@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.blocks import LOWER, gather_ranges, materialize, mix, partitions, ship, slice_hashes, text_blocks, word_spans
+from tessera.llm.blocks import LOWER, gather_ranges, lean, materialize, mix, partitions, ship, slice_hashes, text_blocks, word_spans
 from tessera.llm.components import components
 
 SIGNATURE = 128
@@ -193,7 +193,7 @@ def _across(labelled: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                      "node", "root", F.when(F.col("own") < F.col("j"), 0).when(F.col("own") > F.col("j"), 1).otherwise(2).alias("side")))
     cells = facing.unionByName(among).withColumn("cell", F.concat_ws("/", "cell.a", "cell.b"))
     return (cells.join(texts, "node").repartition(partitions(texts.sparkSession), "key", "cell").sortWithinPartitions("key", "cell")
-            .select("key", "cell", "node", "root", "side", "text").mapInArrow(_cell_links(width), "u binary, v binary"))
+            .select("key", "cell", "node", "root", "side", "text").mapInArrow(lean(_cell_links(width)), "u binary, v binary"))
 
 
 def _blocks(where: Column) -> Column:
@@ -240,7 +240,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                .select("hub", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"), F.lit(True).alias("member"), "node"))
     return (hubs.unionByName(members).join(texts, "node").select("hub", "part", "member", "node", "text")
             .repartition(partitions(pairs.sparkSession), "hub", "part").sortWithinPartitions("hub", "part", "member")
-            .mapInArrow(_confirm(width), "u binary, v binary"))
+            .mapInArrow(lean(_confirm(width)), "u binary, v binary"))
 
 
 def _uid(doc_id: str, text: str) -> Column:
@@ -253,7 +253,7 @@ def _grouped(docs: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
     ship(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _uid(doc_id, text).alias("uid"), F.col(text).alias("text"))
     kind = "doc_id long, uid long, n_shingles long, node binary, bands array<long>"
-    sketches = materialize(source.mapInArrow(_sketch(width), kind), "sketches")
+    sketches = materialize(source.mapInArrow(lean(_sketch(width)), kind), "sketches")
     members = sketches.select("doc_id", "uid", "n_shingles", "node")
     # one document stands for all that have its set
     chosen = members.where("node IS NOT NULL").groupBy("node").agg(

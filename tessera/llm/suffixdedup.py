@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tessera.llm.blocks import gather_ranges, mix, partitions, ship, slice_hashes, text_blocks
+from tessera.llm.blocks import gather_ranges, lean, lean_group, mix, partitions, ship, slice_hashes, text_blocks
 from tessera.session import work_path
 
 MIN_LEN = 50
@@ -526,15 +526,15 @@ def _removed_windows(rows: DataFrame, min_len: int) -> tuple[DataFrame, DataFram
     n = partitions(spark)
     n_buckets = n * BUCKETS
     name = f"tessera_blocks_{uuid.uuid4().hex}"
-    (rows.mapInArrow(_pack_blocks(BLOCK), "block long, rows binary").write.bucketBy(n, "block").format("parquet")
+    (rows.mapInArrow(lean(_pack_blocks(BLOCK)), "block long, rows binary").write.bucketBy(n, "block").format("parquet")
      .option("path", work_path(spark, "llm_blocks")).saveAsTable(name))
     blocks = spark.table(name)
 
     def dealt(df: DataFrame, finish) -> DataFrame:
-        return df.repartition(n, "kind", "key").sortWithinPartitions("kind", "key").mapInArrow(_by_key(finish), _ROWS_DDL)
+        return df.repartition(n, "kind", "key").sortWithinPartitions("kind", "key").mapInArrow(lean(_by_key(finish)), _ROWS_DDL)
 
-    masks = dealt(blocks.mapInArrow(_emit_anchors(min_len, n_buckets), _ROWS_DDL), _shared_anchors)
-    sent = blocks.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(_emit_contexts(min_len, n_buckets), _ROWS_DDL)
+    masks = dealt(blocks.mapInArrow(lean(_emit_anchors(min_len, n_buckets)), _ROWS_DDL), _shared_anchors)
+    sent = blocks.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(lean_group(_emit_contexts(min_len, n_buckets)), _ROWS_DDL)
     return blocks, dealt(sent, _factors(min_len))
 
 
@@ -544,7 +544,7 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("doc_id"))
     blocks, removed = _removed_windows(rows, min_len)
     return blocks.groupBy("block").cogroup(removed.groupBy("block")).applyInArrow(
-        _cut(min_len, _digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        lean_group(_cut(min_len, _digest)), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_len: int = MIN_LEN) -> DataFrame:
@@ -557,5 +557,5 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = rows.select(F.col(plain[at]), F.col(plain[docs.columns.index(doc_id)]).cast("long").alias("id"), *rest)
     blocks, removed = _removed_windows(rows, min_len)
     kind = StructType([f for f in rows.schema if f.name != "id"])
-    out = blocks.groupBy("block").cogroup(removed.groupBy("block")).applyInArrow(_cut(min_len, _rewrite(kind.names)), kind)
+    out = blocks.groupBy("block").cogroup(removed.groupBy("block")).applyInArrow(lean_group(_cut(min_len, _rewrite(kind.names))), kind)
     return out.select(*plain).toDF(*docs.columns)

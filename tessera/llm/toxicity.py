@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.blocks import LOWER, materialize, ship, slice_hashes, text_blocks, word_spans
+from tessera.llm.blocks import LOWER, lean, materialize, ship, slice_hashes, text_blocks, word_spans
 from tessera.llm.langid import held_out
 
 TOXIC_ROWS = 3000
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     totals = dict(known.groupBy("toxic").count().collect())
     if not (totals.get(0) and totals.get(1)):
         return None
-    sample = sampled(docs, labels, doc_id, text).mapInArrow(_sample_features, "toxic int, features array<long>, twin array<long>").where("features IS NOT NULL")
+    sample = sampled(docs, labels, doc_id, text).mapInArrow(lean(_sample_features), "toxic int, features array<long>, twin array<long>").where("features IS NOT NULL")
     sample = materialize(sample, "toxic_sample")
     found = dict(sample.groupBy("toxic").count().collect())
     if not (found.get(0) and found.get(1)):
@@ -236,7 +236,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
                 rows = batch.slice(block.first, block.n)
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(_scores(model, block), pa.float64())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
