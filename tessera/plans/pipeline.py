@@ -6,6 +6,13 @@ queries scan the silver table instead of regenerating and re-parsing the raw
 event log. A written table also cuts lineage, so a lost executor re-reads
 Parquet rather than recomputing the layers below.
 
+Bronze and silver are stored by period of the event time and by event type, so a
+reader opens only the dates and types it asks for. The log is shuffled once, on its
+way into bronze: rows of a directory come together there, AQE splits large ones,
+and silver is a narrow pass over bronze files that writes no more files than it
+reads. The period (day, month or year) follows from the size of the input, so that
+a directory holds at least a full file where the data allow it.
+
 Layers are keyed by application, input folder and the state of the input's
 files (path, length, modification time), so a changed input gets new layers;
 ``reset()`` forgets them all (a new pipeline run rebuilds from the inputs).
@@ -13,19 +20,41 @@ files (path, length, modification time), so a changed input gets new layers;
 
 from __future__ import annotations
 
-from typing import Callable
+from typing import Callable, NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.plans import domain, medallion
+from tessera.functions.constants import EVENT_TYPES
+from tessera.plans import domain, measures, medallion
 from tessera.session import work_path
+from tessera.sinks.tables import TARGET_FILE_BYTES, planned_bytes
+from tessera.sources import load
 from tessera.sources.tables import table_path
 
 #: The tables all layers derive from.
 INPUTS = ("orders", "customer", "lineitem", "part", "nation")
 
-_WRITTEN: dict[tuple, tuple[str, StructType]] = {}
+#: Directory columns of bronze and silver.
+PERIOD = "event_period"
+STORED_BY = [PERIOD, "event_type"]
+
+#: Days of a period, finest first.
+GRAINS = {"day": 1, "month": 30, "year": 365}
+
+#: Bytes of the stored log for a byte of the orders it comes from (both Parquet).
+LOG_GROWTH = 30
+
+
+class Written(NamedTuple):
+    path: str
+    schema: StructType
+    seen: dict  # what was measured while writing
+
+
+_WRITTEN: dict[tuple, Written] = {}
+_GRAIN: dict[tuple, str] = {}
 
 
 def input_state(spark: SparkSession, sf_dir: str) -> str:
@@ -41,25 +70,65 @@ def input_state(spark: SparkSession, sf_dir: str) -> str:
     return " ".join(sorted(found))
 
 
-def layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], by: str | None = None) -> DataFrame:
-    """A table written on first use; ``by``: the column it is partitioned by."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_state(spark, sf_dir), name)
-    found = _WRITTEN.get(key)
-    if found is None:
-        path, df = work_path(spark, f"layer_{name}"), build()
-        writer = df.write.mode("error")
-        (writer.partitionBy(by) if by else writer).parquet(path)
-        found = _WRITTEN[key] = (path, df.schema)
-    return spark.read.schema(found[1]).parquet(found[0]).select(*found[1].names)
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_state(spark, sf_dir)
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame | tuple[DataFrame, list[Observation]]], by: list[str], gather: bool) -> Written:
+    key = (*_key(spark, sf_dir), name)
+    if key not in _WRITTEN:
+        built = build()
+        df, observed = built if isinstance(built, tuple) else (built, [])
+        path, rows = work_path(spark, f"layer_{name}"), df.hint("rebalance", *by) if gather else df
+        rows.write.mode("error").partitionBy(*by).parquet(path)
+        seen = {}
+        for o in observed:
+            seen |= o.get
+        _WRITTEN[key] = Written(path, df.schema, seen)
+    return _WRITTEN[key]
+
+
+def layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], by: list[str] | None = None, gather: bool = False) -> DataFrame:
+    """A table written on first use. ``by``: the columns of its directories;
+    ``gather``: bring the rows of a directory together before they are written."""
+    found = _written(spark, sf_dir, name, build, by or [], gather)
+    return spark.read.schema(found.schema).parquet(found.path).select(*found.schema.names)
 
 
 def reset() -> None:
     _WRITTEN.clear()
+    _GRAIN.clear()
+
+
+def grain(spark: SparkSession, sf_dir: str) -> str:
+    """The finest period whose directories hold a full file each in the mean: the
+    bytes of the orders by their statistics, the days from one aggregation."""
+    key = _key(spark, sf_dir)
+    if key not in _GRAIN:
+        orders = load(spark, sf_dir, "orders")
+        span = orders.agg(F.datediff(F.max("o_orderdate"), F.min("o_orderdate"))).first()[0]
+        a_day = planned_bytes(orders) * LOG_GROWTH / ((span or 0) + 1) / len(EVENT_TYPES)
+        _GRAIN[key] = next((g for g, days in GRAINS.items() if a_day * days >= TARGET_FILE_BYTES), "year")
+    return _GRAIN[key]
+
+
+def period(at: Column, grain: str) -> Column:
+    """The first day of the period of a time; NULL for NULL."""
+    return F.date_trunc(grain, at).cast("date")
+
+
+def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bronze.orders with its directory columns, written once. An event without a
+    time or type is in the directory of NULL."""
+    def build():
+        return medallion.bronze_orders(spark, sf_dir).withColumn(PERIOD, period(F.col("event_timestamp"), grain(spark, sf_dir)))
+
+    return layer(spark, sf_dir, "bronze_orders", build, STORED_BY, gather=True)
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bronze.orders (generated event log + parsed event time), written once."""
-    return layer(spark, sf_dir, "bronze_orders", lambda: medallion.bronze_orders(spark, sf_dir))
+    """bronze.orders (generated event log + parsed event time)."""
+    return stored_bronze(spark, sf_dir).drop(PERIOD)
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +136,27 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_orders(spark, sf_dir).drop("event_timestamp")
 
 
-def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """silver.orders_enriched, stored by event type."""
-    return layer(spark, sf_dir, "orders_enriched", lambda: medallion.silver(bronze_orders(spark, sf_dir), domain.locations(spark, sf_dir)), "event_type")
+def _enriched(spark: SparkSession, sf_dir: str, bronze: DataFrame) -> DataFrame:
+    rows = medallion.silver(bronze, domain.locations(spark, sf_dir))
+    return rows.withColumn(PERIOD, period(F.col("event_timestamp"), grain(spark, sf_dir)))
+
+
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """silver.orders_enriched with its directory columns."""
+    return layer(spark, sf_dir, "orders_enriched", lambda: _enriched(spark, sf_dir, bronze_orders(spark, sf_dir)), STORED_BY)
+
+
+def silver_orders(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """silver.orders_enriched, of the event dates ``first`` to ``last`` (both
+    included) if given: other periods' directories are not opened."""
+    rows, unit = stored_silver(spark, sf_dir), grain(spark, sf_dir)
+    if first is not None:
+        day = F.lit(first).cast("date")
+        rows = rows.where((F.col(PERIOD) >= period(day, unit)) & (F.col("event_date") >= day))
+    if last is not None:
+        day = F.lit(last).cast("date")
+        rows = rows.where((F.col(PERIOD) <= period(day, unit)) & (F.col("event_date") <= day))
+    return rows.drop(PERIOD)
 
 
 def silver_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +182,31 @@ def dirty_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.inject_nulls(bronze_orders(spark, sf_dir))
 
 
+def _dirty_build(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[Observation]]:
+    bronze, silver = Observation("bronze"), Observation("silver")
+    rows = dirty_bronze(spark, sf_dir)
+    rows = _enriched(spark, sf_dir, rows.observe(bronze, *measures.of_bronze()))
+    return rows.observe(silver, *measures.of_silver()), [bronze, silver]
+
+
 def dirty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layer(spark, sf_dir, "dirty_silver", lambda: medallion.silver(dirty_bronze(spark, sf_dir), domain.locations(spark, sf_dir)), "event_type")
+    """Silver of the NULL-injected bronze; the quality measures of both are taken
+    while it is written."""
+    return layer(spark, sf_dir, "dirty_silver", lambda: _dirty_build(spark, sf_dir), STORED_BY).drop(PERIOD)
+
+
+def dirty_measures(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """One row of measures of dirty bronze and one of dirty silver, as observed while
+    silver was written: neither layer is read again. A stage that runs anew after
+    a lost executor may be observed twice, so the observed rows must equal those
+    in the files (a scan without columns); if not, both layers are measured
+    by an aggregation."""
+    bronze, silver = dirty_bronze(spark, sf_dir), dirty_silver(spark, sf_dir)
+    asked = [bronze.agg(*measures.of_bronze()), silver.agg(*measures.of_silver())]
+    seen = _WRITTEN[(*_key(spark, sf_dir), "dirty_silver")].seen
+    if seen.get("rows_bronze") != stored_bronze(spark, sf_dir).count() or seen.get("rows_silver") != silver.count():
+        return asked
+    return [spark.createDataFrame([tuple(seen[n] for n in df.columns)], df.schema) for df in asked]
 
 
 def build_all(spark: SparkSession, sf_dir: str) -> None:

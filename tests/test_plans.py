@@ -60,3 +60,29 @@ def test_gold_reads_prune_silver_partitions(spark):
         p = plan(df)
         assert "PartitionFilters: [isnotnull(event_type" in p or "PartitionFilters: [event_type" in p, p
     assert "body" not in plan(medallion.order_cube(silver)).split("ReadSchema")[1].split("\n")[0]
+
+
+def test_dates_prune_silver_periods(spark):
+    from tessera.plans import pipeline
+
+    p = plan(pipeline.silver_orders(spark, SF_SMALL, "1996-03-15", "1996-06-14"))
+    assert "event_period" in p.split("PartitionFilters: [")[1].split("]")[0], p
+
+
+def test_period_follows_the_size(spark, monkeypatch):
+    from tessera.plans import pipeline
+
+    found = []
+    for size in (10 ** 5, 10 ** 10, 10 ** 12):
+        pipeline._GRAIN.clear()
+        monkeypatch.setattr(pipeline, "planned_bytes", lambda df: size)
+        found.append(pipeline.grain(spark, SF_SMALL))
+    pipeline._GRAIN.clear()
+    assert found == ["year", "month", "day"]
+
+
+def test_silver_is_a_narrow_pass_over_bronze(spark):
+    from tessera.plans import domain, medallion, pipeline
+
+    p = plan(medallion.silver(pipeline.bronze_orders(spark, SF_SMALL), domain.locations(spark, SF_SMALL)))
+    assert "Exchange hashpartitioning" not in p and "BroadcastHashJoin" in p
