@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.constants import CREATED
 from tessera.functions.geo import distance_km, interpolate
 from tessera.functions.json import ITEMS_SCHEMA, is_valid_json, items_total, json_double, parse_body
 from tessera.functions.time import minutes_between, parse_iso_ts
@@ -57,7 +58,7 @@ SELECT count(*) AS order_count, sum(TRY_CAST(json_extract_string(body, '$.total'
        count(DISTINCT TRY_CAST(json_extract_string(body, '$.brand_id') AS INTEGER)) AS brands
 FROM order_log WHERE event_type = 'order_created'""")
 def json_path(spark, sf_dir):
-    log = pipeline.event_log(spark, sf_dir).filter(F.col("event_type") == "order_created")
+    log = pipeline.event_log(spark, sf_dir, (CREATED,))
     return log.agg(F.count(F.lit(1)).alias("order_count"),
                    F.sum(json_double("body", "$.total")).alias("total_revenue"),
                    F.countDistinct(F.get_json_object("body", "$.brand_id").try_cast("int")).alias("brands"))
@@ -125,7 +126,7 @@ SELECT order_id, sqrt((clat - klat) * (clat - klat) + (clon - klon) * (clon - kl
        klat + (clat - klat) * CAST(0.5 AS DOUBLE) AS mid_lat, klon + (clon - klon) * CAST(0.5 AS DOUBLE) AS mid_lon
 FROM c""")
 def geo_distance(spark, sf_dir):
-    log = pipeline.event_log(spark, sf_dir).filter(F.col("event_type") == "order_created")
+    log = pipeline.event_log(spark, sf_dir, (CREATED,))
     loc = domain.locations(spark, sf_dir).select(F.col("id").alias("location_id"), F.col("lat").alias("klat"),
                                                  F.col("lon").alias("klon"))
     b = parse_body("body", "customer_lat double, customer_lon double")
