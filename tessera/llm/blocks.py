@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.session import work_path
 
 BLOCK_BYTES = 2 << 20
+#: For work whose arrays are many times the block and which gains nothing from a larger one.
+SMALL_BLOCK_BYTES = 256 << 10
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -147,7 +149,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**n modulo 2**64 (kept for the next block if not huge)."""
     out = _POWERS.get(base)
     if out is None or len(out) <= n:
-        out = np.full(max(n, BLOCK_BYTES) + 1, np.uint64(base), np.uint64)
+        out = np.full((1 << max(n, SMALL_BLOCK_BYTES).bit_length()) + 1, np.uint64(base), np.uint64)
         out[0] = 1
         out = np.cumprod(out, dtype=np.uint64)
         if n <= 2 * BLOCK_BYTES + (1 << 20):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.blocks import LOWER, gather_ranges, lean, materialize, mix, partitions, ship, slice_hashes, text_blocks, word_spans
+from tessera.llm.blocks import LOWER, SMALL_BLOCK_BYTES, gather_ranges, lean, materialize, mix, partitions, ship, slice_hashes, text_blocks, word_spans
 from tessera.llm.components import components
 
 SIGNATURE = 128
@@ -98,7 +98,7 @@ def _sketch(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, uids = batch.column("doc_id"), batch.column("uid")
-            for block in text_blocks(batch.column("text")):
+            for block in text_blocks(batch.column("text"), SMALL_BLOCK_BYTES):
                 sizes, keys, bands = [], [], []
                 for elements in shingle_sets(block, width):
                     sizes.append(len(elements))
@@ -148,7 +148,7 @@ def _cell_links(width: int):
         rows, sets, current = [], [], None
         for batch in batches:
             keys, cells, nodes, roots, sides = (batch.column(c).to_pylist() for c in ("key", "cell", "node", "root", "side"))
-            for block in text_blocks(batch.column("text")):
+            for block in text_blocks(batch.column("text"), SMALL_BLOCK_BYTES):
                 for i, elements in enumerate(shingle_sets(block, width), block.first):
                     if (keys[i], cells[i]) != current:
                         if len(rows) > 1:
@@ -212,7 +212,7 @@ def _confirm(width: int):
             hubs, parts = batch.column("hub").to_pylist(), batch.column("part").to_pylist()
             members, nodes = batch.column("member").to_pylist(), batch.column("node").to_pylist()
             left, right = [], []
-            for block in text_blocks(batch.column("text")):
+            for block in text_blocks(batch.column("text"), SMALL_BLOCK_BYTES):
                 for i, elements in enumerate(shingle_sets(block, width), block.first):
                     if not members[i]:
                         current, centre = (hubs[i], parts[i]), elements
