@@ -30,11 +30,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from tessera.llm.blocks import lean, ship, slice_hashes, text_blocks
+from tessera.llm.blocks import SMALL_BLOCK_BYTES, lean, ship, slice_hashes, text_blocks
 
 #: Bytes of merged slices a task keeps: half for those used since the last turn,
 #: half for those of the turn before.
-CACHE = 64 << 20
+CACHE = 32 << 20
 #: Bytes a slice takes beside its own, its ids' and its decimals' (objects, table).
 _ENTRY = 400
 #: Places that remember which slices came before.
@@ -81,11 +81,13 @@ _TABLE: list[np.ndarray] = []
 def class_table() -> np.ndarray:
     """Class of every code point by Arrow's Unicode tables, made once in a process."""
     if not _TABLE:
-        points = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000])
-        chars = pa.array(map(chr, points.tolist()))
         table = np.full(0x110000, _OTHER, np.uint8)
-        table[points[pc.utf8_is_alpha(chars).to_numpy(zero_copy_only=False)]] = _LETTER
-        table[points[pc.utf8_is_numeric(chars).to_numpy(zero_copy_only=False)]] = _NUMBER
+        for first in range(0, 0x110000, 0x800):  # a few at a time: freed objects stay in a worker's heap
+            if 0xD800 <= first < 0xE000:
+                continue
+            chars, part = pa.array(map(chr, range(first, first + 0x800))), table[first:first + 0x800]
+            part[pc.utf8_is_alpha(chars).to_numpy(zero_copy_only=False)] = _LETTER
+            part[pc.utf8_is_numeric(chars).to_numpy(zero_copy_only=False)] = _NUMBER
         table[WHITE_SPACE] = _SPACE
         table[0x20] = _BLANK
         _TABLE.append(table)
@@ -291,7 +293,7 @@ def _each_block(rank_file: bytes, text: str, finish: Callable):
         known = codec(rank_file)
         try:
             for batch in batches:
-                for block in text_blocks(batch.column(text)):
+                for block in text_blocks(batch.column(text), SMALL_BLOCK_BYTES):
                     yield finish(batch.slice(block.first, block.n), list(known.encode_block(block)))
         finally:
             known.release()
