@@ -109,7 +109,7 @@ def stream_order_log(spark, sf_dir):
     base = work_path(spark, "stream_order_log")
     log = pipeline.event_log(spark, sf_dir)
     at = F.timestamp_seconds("ts_seconds")
-    jobs.to_envelope(log.withColumn("_at", at), "order_id", "_at", value_columns=log.columns).write.parquet(f"{base}/in")
+    jobs.to_envelope(log.withColumn("_at", at), "order_id", "_at", value_columns=log.columns).write.option("compression", "zstd").parquet(f"{base}/in")
     s = jobs.parse_envelope(jobs.file_stream(spark, f"{base}/in", ENVELOPE_SCHEMA), log.schema)
     jobs.run_to_files(s.withColumn("event_timestamp", parse_iso_ts("ts").cast("timestamp_ntz")), f"{base}/out", f"{base}/cp")
     return spark.read.parquet(f"{base}/out")
