@@ -107,7 +107,7 @@ def stream_parse_envelope(spark, sf_dir):
 def stream_order_log(spark, sf_dir):
     """The order event log through the envelope, with its event time parsed."""
     base = work_path(spark, "stream_order_log")
-    log = pipeline.event_log(spark, sf_dir)
+    log = pipeline.log_rows(spark, sf_dir)
     at = F.timestamp_seconds("ts_seconds")
     jobs.to_envelope(log.withColumn("_at", at), "order_id", "_at", value_columns=log.columns).write.option("compression", "zstd").parquet(f"{base}/in")
     s = jobs.parse_envelope(jobs.file_stream(spark, f"{base}/in", ENVELOPE_SCHEMA), log.schema)

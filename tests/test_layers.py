@@ -1,4 +1,5 @@
-"""The layers of the event log: headers shuffled, events only passed on, parts by event type."""
+"""The layers of the event log: headers shuffled, events only passed on, parts by event type,
+none written for a query that goes over the log once."""
 
 from __future__ import annotations
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.constants import CREATED, PING
-from tessera.plans import domain, pipeline
+from tessera.plans import domain, medallion, pipeline
 from tessera.plans.catalog import QUERIES
 from tessera.session import work_path
 
@@ -68,3 +69,46 @@ def test_events_are_neither_shuffled_nor_sorted(spark, tables, monkeypatch):
     assert spark.conf.get(CONCURRENT, None) == before
     with pipeline._many_files(spark):
         assert spark.conf.get(CONCURRENT) == str(pipeline.OPEN_FILES)
+
+
+def same_rows(a, b):
+    found, wanted = ([*map(str, df.select(*sorted(b.columns)).collect())] for df in (a, b))
+    assert sorted(found) == sorted(wanted) != []
+
+
+ONE_PASS = ("bronze_orders", "driver_pings", "duplicate_audit", "event_profile", "filter_not_null", "inject_bad_json", "inject_duplicates", "inject_nulls",
+            "late_arrivals", "quarantine_json", "dedup_events", "orders_enriched", "order_lifecycle")
+
+
+def test_one_pass_over_the_log_stores_no_events(spark, tables):
+    for name in ONE_PASS:
+        assert QUERIES[name].fn(spark, tables).collect()
+        assert parts(spark, tables) == {"order_headers"}, name
+    QUERIES["delivery_performance"].fn(spark, tables).collect()
+    assert parts(spark, tables) == {"order_headers", "order_lifecycle"}
+
+
+@pytest.mark.parametrize("written", [(), (PING, CREATED)])
+def test_rows_are_the_same_whichever_parts_are_written(spark, tables, written):
+    if written:
+        pipeline.stored_silver(spark, tables, written)
+    before = parts(spark, tables)
+    raw = domain.order_event_log(spark, tables)
+    bronze = medallion.bronze_orders(raw)
+    silver = medallion.silver(bronze, domain.locations(spark, tables))
+    for types in (pipeline.ALL, ("delivered", CREATED)):
+        for rows, wanted in ((pipeline.log_rows, raw), (pipeline.bronze_rows, bronze), (pipeline.silver_rows, silver)):
+            found = rows(spark, tables, types)
+            assert dict(found.dtypes) == dict(wanted.dtypes)
+            same_rows(found, wanted.where(F.col("event_type").isin(*types)))
+    assert parts(spark, tables) == before | {"order_headers"}
+
+
+def test_many_headers_are_dealt_to_many_tasks(spark, tables, monkeypatch):
+    pipeline.headers(spark, tables)
+    monkeypatch.setattr(pipeline, "DERIVED_BYTES", 10_000)
+    tasks = pipeline._ranges(spark, tables, 10_000)
+    assert tasks > spark.sparkContext.defaultParallelism
+    log = pipeline.log_rows(spark, tables)
+    assert "rangepartitioning(o_orderdate" in (plan := log._jdf.queryExecution().executedPlan().toString()) and f", {tasks})" in plan
+    same_rows(log, domain.order_event_log(spark, tables))
