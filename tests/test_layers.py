@@ -86,6 +86,9 @@ def test_one_pass_over_the_log_stores_no_events(spark, tables):
         assert parts(spark, tables) == {"order_headers"}, name
     QUERIES["delivery_performance"].fn(spark, tables).collect()
     assert parts(spark, tables) == {"order_headers", "order_lifecycle"}
+    QUERIES["quality_report"].fn(spark, tables).collect()
+    assert parts(spark, tables) == {"order_headers", "order_lifecycle", "dirty_silver"}
+    assert {r.event_type for r in pipeline.dirty_silver(spark, tables).collect()} == {CREATED}
 
 
 @pytest.mark.parametrize("written", [(), (PING, CREATED)])
