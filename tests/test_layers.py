@@ -115,3 +115,10 @@ def test_many_headers_are_dealt_to_many_tasks(spark, tables, monkeypatch):
     log = pipeline.log_rows(spark, tables)
     assert "rangepartitioning(o_orderdate" in (plan := log._jdf.queryExecution().executedPlan().toString()) and f", {tasks})" in plan
     same_rows(log, domain.order_event_log(spark, tables))
+
+
+def test_split_does_not_repeat_the_text(spark, tables):
+    """The formula of a body is not pushed into the filters of the split."""
+    p = QUERIES["quarantine_json"].fn(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in p.splitlines() if "Filter" in line]
+    assert any("_malformed" in f for f in filters) and not any("json_object_keys" in f for f in filters)
