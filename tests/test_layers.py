@@ -49,6 +49,13 @@ def test_gold_of_created_orders_writes_no_other_events(spark, tables):
     assert parts(spark, tables) == {"order_headers", "bronze_orders/created", "orders_enriched/created", "order_cube"}
 
 
+def test_top_brands_stores_created_orders_only(spark, tables):
+    rows = QUERIES["top_brands"].fn(spark, tables).collect()
+    assert parts(spark, tables) == {"order_headers", "bronze_orders/created", "orders_enriched/created", "order_cube"}
+    # an order without a date has no event time; one without items or with an unknown part has no brand
+    assert [tuple(r) for r in rows] == [(23, "Brand#23", 2, 40.5, 20.25), (11, "Brand#11", 1, 10.5, 10.5), (None, None, 2, 7.0, 7.0)]
+
+
 def test_events_are_neither_shuffled_nor_sorted(spark, tables, monkeypatch):
     plans = []
 
