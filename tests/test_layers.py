@@ -3,10 +3,14 @@ none written for a query that goes over the log once."""
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import hashing
 from tessera.functions.constants import CREATED, PING
+from tessera.operators import generate
 from tessera.plans import domain, medallion, pipeline
 from tessera.plans.catalog import QUERIES
 from tessera.session import work_path
@@ -129,3 +133,50 @@ def test_split_does_not_repeat_the_text(spark, tables):
     p = QUERIES["quarantine_json"].fn(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in p.splitlines() if "Filter" in line]
     assert any("_malformed" in f for f in filters) and not any("json_object_keys" in f for f in filters)
+
+
+def generated_code(spark, df):
+    """Size of the largest method that Spark generates for a frame, in bytes."""
+    text = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(df._jdf.queryExecution().executedPlan())
+    return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text))
+
+
+@pytest.mark.parametrize("name", ["inject_nulls", "inject_bad_json", "quarantine_json"])
+def test_code_of_a_row_is_compiled(spark, tables, name):
+    """The JVM interprets methods above 8000 bytes, several times slower."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    pipeline.headers(spark, tables)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # its plans have no code before they run
+    try:
+        assert 0 < generated_code(spark, QUERIES[name].fn(spark, tables)) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_chance_compares_the_number_of_the_digest(spark):
+    keys = spark.range(3000).select(F.when(F.col("id") > 0, F.concat(F.lit("k"), "id")).alias("k"))
+    for rate in (0.0, 0.01, 0.05, 0.5, 1 - 2 ** -32, 1.0, 1.5, -0.5):
+        wrong = keys.where(~hashing.chance("k", "s", rate).eqNullSafe(hashing.uhash("k", "s") < int(rate * hashing.HASH_SPAN)))
+        assert wrong.isEmpty(), rate
+
+
+def test_bad_json_of_each_kind(spark):
+    """As before, whichever way the formula is written: each kind of damage, texts it cannot touch, no text."""
+    bodies = ['{"a":"x","b":1.5,"c":null}', '{"a":1}', "{}", "plain", "", None, '[1, 2, "three"]']
+    rows = spark.createDataFrame([(f"{i}-{j}", b) for i in range(40) for j, b in enumerate(bodies)], "event_id string, body string")
+    seen = set()
+    for r, before in zip(generate.inject_bad_json(rows, 0.9).orderBy("event_id").collect(), rows.orderBy("event_id").collect()):
+        b = before.body
+        seen.add((r.corruption, b))
+        wanted = b
+        if b is not None:
+            if r.corruption == "truncate" and len(b) > 10:
+                wanted = b[:len(b) // 2]
+            elif r.corruption == "missing_brace" and b.endswith("}"):
+                wanted = b[:-1]
+            elif r.corruption == "missing_quote" and '"' in b:
+                wanted = b.replace('"', "", 1)
+            elif r.corruption == "extra_comma" and b.endswith("}"):
+                wanted = b[:-1] + ",}"
+        assert r.body == wanted, (r, b)
+    assert len({kind for kind, _ in seen}) == 5
