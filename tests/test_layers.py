@@ -141,18 +141,24 @@ def generated_code(spark, df):
     return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text))
 
 
-@pytest.mark.parametrize("name", ["inject_nulls", "inject_bad_json", "quarantine_json"])
+@pytest.mark.parametrize("name", ["inject_nulls", "inject_bad_json", "quarantine_json", "quality_report"])
 def test_code_of_a_row_is_compiled(spark, tables, name):
     """The JVM interprets methods above 8000 bytes, several times slower."""
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     pipeline.headers(spark, tables)
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # its plans have no code before they run
     try:
-        assert 0 < generated_code(spark, QUERIES[name].fn(spark, tables)) < 8000
+        df = pipeline._dirty_build(spark, tables)[0] if name == "quality_report" else QUERIES[name].fn(spark, tables)
+        assert 0 < generated_code(spark, df) < 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def test_silver_parses_a_body_once(spark, tables):
+    plan = pipeline.silver_rows(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == len({kind for kind, _, _ in medallion.BODY_FIELDS.values()})
+
+
 def test_chance_compares_the_number_of_the_digest(spark):
     keys = spark.range(3000).select(F.when(F.col("id") > 0, F.concat(F.lit("k"), "id")).alias("k"))
     for rate in (0.0, 0.01, 0.05, 0.5, 1 - 2 ** -32, 1.0, 1.5, -0.5):
