@@ -41,11 +41,12 @@ def parse_envelope(env: DataFrame, schema: T.StructType, keep_log_time: bool = F
 
 
 # ------------------------------------------------------------------ sources
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", consume: bool = False) -> DataFrame:
     """Incremental file ingestion (only new files are picked up). A batch
     takes all files that are there: with a cap, a watermark moved by one file
-    would make rows of the next look late."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    would make rows of the next look late. With ``consume`` files are deleted once the batch
+    after theirs begins, as a log drops what all have read; only for files of one's own."""
+    reader = spark.readStream.schema(schema).format(fmt).option("cleanSource", "delete" if consume else "off")
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if files.exists(place) and files.getFileStatus(place).isFile():  # a file source watches folders
@@ -60,11 +61,13 @@ def table_stream(spark: SparkSession, table: str) -> DataFrame:
 
 # -------------------------------------------------------------------- sinks
 def run_to_files(stream: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
-                 partition_by: list[str] | None = None, every: str | None = None):
+                 partition_by: list[str] | None = None, every: str | None = None, compression: str | None = None):
     """K10 (and R6 append, R8 exactly-once). R7: with ``every`` the query starts a
     batch at that interval and is returned running, else it takes what is
     there and ends."""
     w = stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint).option("path", sink)
+    if compression:
+        w = w.option("compression", compression)
     w = w.trigger(processingTime=every) if every else w.trigger(availableNow=True)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -4,8 +4,10 @@ none written for a query that goes over the log once."""
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import hashing
@@ -14,6 +16,7 @@ from tessera.operators import generate
 from tessera.plans import domain, medallion, pipeline
 from tessera.plans.catalog import QUERIES
 from tessera.session import work_path
+from tessera.streaming import jobs
 
 CONCURRENT = "spark.sql.maxConcurrentOutputFileWriters"
 
@@ -208,3 +211,29 @@ def test_export_shuffles_headers_and_stores_no_log(spark, tables, monkeypatch):
     found = [[(-1 if t != t else int(t), s) for t, s in zip(f.ts_seconds, f.sequence)] for _, f in rows]
     assert all(f == sorted(f) for f in found)
     assert all(a[-1] <= b[0] for a, b in zip(found, found[1:]))
+
+
+@pytest.mark.parametrize("written", [(), (CREATED,)])
+def test_streamed_log_keeps_no_second_copy(spark, tables, monkeypatch, written):
+    monkeypatch.setattr(pipeline, "DERIVED_BYTES", 3_000)
+    monkeypatch.setattr(pipeline, "PORTION_TASKS", 1)
+    if written:
+        pipeline.bronze_orders(spark, tables, written)
+    wanted = medallion.bronze_orders(domain.order_event_log(spark, tables))
+    portions = [*pipeline.log_portions(spark, tables)]
+    assert len(portions) > 2
+    same_rows(reduce(DataFrame.unionByName, portions), wanted.drop("event_timestamp"))
+    places, file_stream = [], jobs.file_stream
+    monkeypatch.setattr(jobs, "file_stream", lambda s, path, *a, **b: places.append(path) or file_stream(s, path, *a, **b))
+    same_rows(QUERIES["stream_order_log"].fn(spark, tables), wanted)
+    assert len(places) == len(portions) and len({*places}) == 1
+    left = spark.read.schema("key string").parquet(places[0]).count()
+    assert left < wanted.count() / 2  # the last portions at most: what a batch has read goes as the next begins
+
+
+def test_streams_leave_files_of_others(spark):
+    base = work_path(spark, "t_stream")
+    for i in range(3):
+        spark.range(i * 10, i * 10 + 10).write.mode("append").parquet(f"{base}/in")
+        jobs.run_to_files(jobs.file_stream(spark, f"{base}/in", spark.range(1).schema), f"{base}/out", f"{base}/cp")
+    assert spark.read.parquet(f"{base}/in").count() == spark.read.parquet(f"{base}/out").count() == 30
