@@ -237,3 +237,14 @@ def test_streams_leave_files_of_others(spark):
         spark.range(i * 10, i * 10 + 10).write.mode("append").parquet(f"{base}/in")
         jobs.run_to_files(jobs.file_stream(spark, f"{base}/in", spark.range(1).schema), f"{base}/out", f"{base}/cp")
     assert spark.read.parquet(f"{base}/in").count() == spark.read.parquet(f"{base}/out").count() == 30
+
+
+def test_dedup_deals_events_by_order(spark, tables):
+    df = QUERIES["dedup_events"].fn(spark, tables)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    events = plan[:plan.rindex("Generate explode(sequence(0")]
+    assert events.count("Exchange hashpartitioning") == events.count("Exchange hashpartitioning(order_id") == 1
+    with_copies = generate.inject_duplicates(domain.order_event_log(spark, tables))
+    assert with_copies.count() > df.count()
+    same_rows(df, with_copies.groupBy("event_id").agg(F.min("ts_seconds").alias("ts_seconds"), F.min("event_type").alias("event_type"),
+                                                      F.min("order_id").alias("order_id"), F.min("sequence").alias("sequence")))
